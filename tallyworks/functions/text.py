@@ -24,11 +24,9 @@ def _as_column(column) -> Column:
 
 
 def _named_entities() -> Column:
-    """Map literal of the HTML 4 names to their characters."""
-    pairs = []
-    for name, point in sorted(name2codepoint.items()):
-        pairs += [F.lit(name), F.lit(chr(point))]
-    return F.create_map(*pairs)
+    """Map of the HTML 4 names to their characters, written as one literal to keep plans small."""
+    listed = " ".join(f"{name}={chr(point)}" for name, point in sorted(name2codepoint.items()))
+    return F.str_to_map(F.lit(listed), F.lit(" "), F.lit("="))
 
 
 def _from_code_point(point: Column) -> Column:
@@ -47,18 +45,30 @@ def unescape_html(column) -> Column:
     text = _as_column(column)
     names = _named_entities()
 
+    def numeric(reference: Column) -> Column:
+        decimal = F.regexp_extract(reference, r"^&#([0-9]+);$", 1)
+        hexadecimal = F.regexp_extract(reference, r"^&#[xX]0*([0-9a-fA-F]{1,7});$", 1)
+        point = F.when(decimal != "", decimal.try_cast("int")).when(
+            hexadecimal != "", F.conv(hexadecimal, 16, 10).cast("int")
+        )
+        return F.when(point <= 0xFFFF, _from_code_point(point)).otherwise(reference)
+
+    def named(reference: Column) -> Column:
+        name = F.regexp_extract(reference, r"(?s)^&([^&;]*);$", 1)
+        return F.coalesce(F.try_element_at(names, name), reference)
+
     def resolve(piece: Column) -> Column:
-        body = F.regexp_extract(piece, r"(?s)^&([^&;]*);$", 1)
-        decimal = F.regexp_extract(body, r"^#([0-9]+)$", 1).try_cast("int")
-        hexadecimal = F.regexp_extract(body, r"^#[xX]0*([0-9a-fA-F]{1,7})$", 1)
-        hex_point = F.conv(F.nullif(hexadecimal, F.lit("")), 16, 10).try_cast("int")
-        point = F.coalesce(decimal, hex_point)
-        numeric = F.when(point <= 0xFFFF, _from_code_point(point))
-        named = F.try_element_at(names, body)
-        return F.when(piece.startswith("&"), F.coalesce(numeric, named, piece)).otherwise(piece)
+        # most pieces are plain text, so the costly branches come behind cheap tests
+        closed = piece.endswith(";")
+        return (
+            F.when(closed & piece.startswith("&#"), numeric(piece))
+            .when(closed & piece.startswith("&"), named(piece))
+            .otherwise(piece)
+        )
 
     pieces = F.regexp_extract_all(text, F.lit(r"(?s)(&[^&;]*;|[^&]+|&)"), F.lit(1))
-    return F.when(F.contains(text, F.lit("&")), F.array_join(F.transform(pieces, resolve), "")).otherwise(text)
+    has_reference = F.contains(text, F.lit("&")) & text.rlike("&[^&;]*;")
+    return F.when(has_reference, F.array_join(F.transform(pieces, resolve), "")).otherwise(text)
 
 
 def clean_text(column, *, unescape: bool = True, lower_again: bool = False) -> Column:
@@ -68,7 +78,7 @@ def clean_text(column, *, unescape: bool = True, lower_again: bool = False) -> C
         text = unescape_html(text)
     if lower_again:
         text = F.lower(text)
-    return F.translate(text, "'", "")
+    return F.replace(text, F.lit("'"), F.lit(""))
 
 
 def letter_tokens(column, **options) -> Column:
@@ -77,14 +87,19 @@ def letter_tokens(column, **options) -> Column:
 
 
 def explode_words(df: DataFrame, text, *, keep=(), word: str = "word", **options) -> DataFrame:
-    """One row per word of ``text``, with the columns in ``keep``."""
-    parts = F.split(clean_text(text, **options), "[^a-zA-Z]+")
-    return df.select(*keep, F.explode(parts).alias(word)).filter(F.col(word) != "")
+    """One row per word of ``text``, with the columns in ``keep``.
+
+    The text is cleaned in a projection of its own, which leaves the generator and what follows it
+    to generated code.
+    """
+    cleaned = df.select(*keep, clean_text(text, **options).alias("_clean"))
+    words = cleaned.select(*keep, F.explode(F.split("_clean", "[^a-zA-Z]+")).alias(word))
+    return words.filter(F.col(word) != "")
 
 
 def stopword_tokens(df: DataFrame, text, *, word: str = "word") -> DataFrame:
     """Distinct words of a stopword text: lower case, quotes removed, split at white space."""
-    cleaned = F.translate(F.lower(_as_column(text)), "'", "")
+    cleaned = F.replace(F.lower(_as_column(text)), F.lit("'"), F.lit(""))
     words = df.select(F.explode(F.split(cleaned, RAW_DELIMITERS)).alias(word))
     return words.filter(F.col(word) != "").distinct()
 
@@ -95,7 +110,7 @@ def raw_tokens(column) -> Column:
     A sign inside a token leaves a blank inside it, and a token of signs alone is kept as blanks.
     """
     tokens = F.filter(F.split(_as_column(column), RAW_DELIMITERS), lambda t: t != "")
-    cleaned = F.transform(tokens, lambda t: F.regexp_replace(F.translate(t, "'", ""), "[^a-zA-Z]", " "))
+    cleaned = F.transform(tokens, lambda t: F.regexp_replace(F.replace(t, F.lit("'"), F.lit("")), "[^a-zA-Z]", " "))
     return F.filter(F.array_distinct(cleaned), lambda t: t != "")
 
 

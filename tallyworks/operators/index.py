@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyworks.functions.text import explode_words, first_link, unescape_html
+from tallyworks.functions.text import explode_words, first_link, letter_tokens, unescape_html
 from tallyworks.operators.nesting import PART_ITEMS, gather
 
 
@@ -20,17 +20,40 @@ def inverted_index(df: DataFrame, body: str, key: str, prefix: str, *, part_item
     return ids.select("url", "part", F.array_join(F.col("_ids").cast("array<string>"), " ").alias("ids"))
 
 
-def term_weights(df: DataFrame, document: str, text: str | Column, *, documents: int | Column | None = None) -> DataFrame:
+def _document_counts(df: DataFrame, document: str, text: str | Column, whole_rows: bool) -> DataFrame:
+    """Occurrences per term and the number of documents with it."""
+    if not whole_rows:
+        words = explode_words(df, text, keep=[document])
+        per_document = words.groupBy("word", document).agg(F.count("*").alias("_n"))
+        return per_document.groupBy("word").agg(F.sum("_n").alias("tf"), F.count("*").alias("df"))
+    # in sorted order a word is new to its row where it differs from the one before
+    words = df.select(F.sort_array(letter_tokens(text)).alias("_words"))
+    marked = F.transform(
+        "_words", lambda w, i: F.struct(w.alias("word"), (~w.eqNullSafe(F.get("_words", i - 1))).alias("_new"))
+    )
+    flags = words.select(F.inline(marked))
+    return flags.groupBy("word").agg(F.count("*").alias("tf"), F.count_if("_new").alias("df"))
+
+
+def term_weights(
+    df: DataFrame,
+    document: str,
+    text: str | Column,
+    *,
+    documents: int | Column | None = None,
+    whole_rows: bool = False,
+) -> DataFrame:
     """Occurrences of a term in the corpus times ln(documents / documents with the term).
 
-    Counting per term and document first leaves one row for each, so that document frequency is a
-    plain count. ``documents`` is the size of the corpus; by default that of the different values
-    of the ``document`` column, with documents that hold no word included.
+    A document may be spread over many rows, such as the lines of a file; counting per term and
+    document first then leaves one row for each. With ``whole_rows`` every row is a document of
+    its own, and that shuffle, as large as the texts, is spared. ``documents`` is the size of the
+    corpus; by default that of the different values of the ``document`` column, with documents that
+    hold no word included.
     """
     if documents is None:
         documents = df.agg(F.count_distinct(document)).scalar()
     elif isinstance(documents, int):
         documents = F.lit(documents)
-    per_document = explode_words(df, text, keep=[document]).groupBy("word", document).agg(F.count("*").alias("_n"))
-    terms = per_document.groupBy("word").agg(F.sum("_n").alias("tf"), F.count("*").alias("df"))
+    terms = _document_counts(df, document, text, whole_rows)
     return terms.withColumn("weight", F.col("tf") * F.log(documents / F.col("df")))

@@ -412,7 +412,7 @@ def inverted_index(spark, sf_dir):
 
 
 def term_weights(spark, sf_dir):
-    return _rounded(index.term_weights(table(spark, sf_dir, "documents"), "doc_id", "text"), "weight")
+    return _rounded(index.term_weights(table(spark, sf_dir, "documents"), "doc_id", "text", whole_rows=True), "weight")
 
 
 def corpus_term_weights(spark, sf_dir):
