@@ -108,10 +108,11 @@ def raw_tokens(column) -> Column:
     """Distinct tokens in their own case: white-space split, quotes removed, other signs to blanks.
 
     A sign inside a token leaves a blank inside it, and a token of signs alone is kept as blanks.
+    The text is cleaned as a whole, with line feeds as the only delimiter left.
     """
-    tokens = F.filter(F.split(_as_column(column), RAW_DELIMITERS), lambda t: t != "")
-    cleaned = F.transform(tokens, lambda t: F.regexp_replace(F.replace(t, F.lit("'"), F.lit("")), "[^a-zA-Z]", " "))
-    return F.filter(F.array_distinct(cleaned), lambda t: t != "")
+    lines = F.regexp_replace(_as_column(column), RAW_DELIMITERS, "\n")
+    cleaned = F.regexp_replace(F.replace(lines, F.lit("'"), F.lit("")), r"[^a-zA-Z\n]", " ")
+    return F.array_remove(F.array_distinct(F.split(cleaned, "\n")), "")
 
 
 def first_link(column, prefix: str) -> Column:

@@ -8,15 +8,19 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyworks.functions.text import raw_tokens
 from tallyworks.operators.nesting import nest
+from tallyworks.session import fits_broadcast
 
 #: Largest bit array that is collected and broadcast (16 MiB). Larger ones are never built.
 MAX_BITS = 1 << 27
+#: Largest member set, in bytes, that is looked up itself instead of through a filter.
+MEMBER_BYTES = 16 * 1024 * 1024
 
 
 def filter_size(members: int, false_positives: float) -> tuple[int, int]:
@@ -103,6 +107,20 @@ def bloom_filter_keys(df: DataFrame, key: str, members: DataFrame, member: str,
     return df.filter(build_bloom(known, "_member", count, false_positives).may_contain(key))
 
 
+def _any_of(members: DataFrame, member: str, tokens: Column) -> Column:
+    """Whether any token is one of a bounded set of members, held once per executor."""
+    held = members.sparkSession.sparkContext.broadcast(members.select(member).toArrow()[member].combine_chunks())
+
+    @F.arrow_udf("boolean")
+    def probe(lists: pa.Array) -> pa.Array:
+        offsets = lists.offsets.to_numpy()
+        hit = pc.is_in(lists.values, value_set=held.value).to_numpy(zero_copy_only=False)
+        upto = np.concatenate(([0], np.cumsum(hit)))
+        return pa.array(upto[offsets[1:]] > upto[offsets[:-1]])
+
+    return probe(tokens)
+
+
 def bloom_filter_tokens(
     df: DataFrame,
     text: str,
@@ -111,14 +129,18 @@ def bloom_filter_tokens(
     false_positives: float = 0.01,
     *,
     exact_on: Sequence[str] | None = None,
+    max_bytes: int = MEMBER_BYTES,
 ) -> DataFrame:
     """Rows with a text in which any cleaned token may be among the members, each row once.
 
-    With ``exact_on``, the columns that identify a row, the rows that pass are checked against the
-    members themselves, so none is kept by a false positive.
+    With ``exact_on``, the columns that identify a row, none is kept by a false positive: a member
+    set measured below ``max_bytes`` is looked up itself, without a shuffle; beyond it, the rows
+    that pass the filter are checked by a semi join of their tokens.
     """
-    known = members.select(F.col(member).alias("_member")).dropna()
+    known = members.select(F.col(member).cast("string").alias("_member")).dropna().distinct()
     rows = df.dropna(subset=[text])
+    if exact_on is not None and fits_broadcast(known, max_bytes):
+        return rows.filter(_any_of(known, "_member", raw_tokens(text)))
     count = known.count()
     if fits_bloom(count, false_positives):
         rows = rows.filter(build_bloom(known, "_member", count, false_positives).any_member(raw_tokens(text)))
@@ -127,7 +149,7 @@ def bloom_filter_tokens(
     if exact_on is None:
         return rows
     tokens = rows.select(*exact_on, F.explode(raw_tokens(text)).alias("_token"))
-    right = tokens.join(known.distinct(), F.col("_token") == F.col("_member"), "left_semi").select(*exact_on).distinct()
+    right = tokens.join(known, F.col("_token") == F.col("_member"), "left_semi").select(*exact_on).distinct()
     return rows.join(right, list(exact_on), "left_semi")
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyworks.operators.medians import exact_medians
+from tallyworks.session import cut_lineage
 
 #: Width of the stretches a key's rounds are cut into; at most this many rounds fall in one.
 STRETCH = 1_000_000
@@ -62,22 +63,26 @@ def gaps(df: DataFrame, key: str, order: str, *, stretch: int = STRETCH, chunk:
 
 
 def gap_stats(df: DataFrame, key: str, order: str, *, stretch: int = STRETCH) -> DataFrame:
-    """Number, mean, sample deviation and median of the gaps of a key, and its last round."""
+    """Number, mean, sample deviation and median of the gaps of a key, and its last round.
+
+    Everything follows from the number of occurrences of each gap of a key. That table is written
+    once, since the median looks at it more than once.
+    """
     counted = gap_counts(df, key, order, stretch=stretch)
+    weighted = cut_lineage(counted.groupBy(key, "gap").agg(F.sum("n").alias("weight"), F.max(order).alias("_last")))
     gap, n = F.col("gap").cast("double"), F.col("n")
-    sums = counted.groupBy(key).agg(
-        F.sum("n").alias("n"),
-        F.sum(gap * n).alias("_s1"),
-        F.sum(gap * gap * n).alias("_s2"),
-        F.max(order).alias("last"),
+    sums = weighted.groupBy(key).agg(
+        F.sum("weight").alias("n"),
+        F.sum(gap * F.col("weight")).alias("_s1"),
+        F.sum(gap * gap * F.col("weight")).alias("_s2"),
+        F.max("_last").alias("last"),
     )
-    variance = (F.col("_s2") - F.col("_s1") * F.col("_s1") / F.col("n")) / (F.col("n") - 1)
+    variance = (F.col("_s2") - F.col("_s1") * F.col("_s1") / n) / (n - 1)
     stats = sums.select(
         key,
         "n",
-        (F.col("_s1") / F.col("n")).alias("average"),
-        F.when(F.col("n") > 1, F.sqrt(F.greatest(variance, F.lit(0.0)))).alias("stddev"),
+        (F.col("_s1") / n).alias("average"),
+        F.when(n > 1, F.sqrt(F.greatest(variance, F.lit(0.0)))).alias("stddev"),
         "last",
     )
-    weighted = counted.groupBy(key, "gap").agg(F.sum("n").alias("weight"))
     return stats.join(exact_medians(weighted, [key], "gap", "weight"), key)

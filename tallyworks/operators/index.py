@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyworks.functions.text import explode_words, first_link, letter_tokens, unescape_html
 from tallyworks.operators.nesting import PART_ITEMS, gather
+from tallyworks.session import cut_lineage
 
 
 def inverted_index(df: DataFrame, body: str, key: str, prefix: str, *, part_items: int = PART_ITEMS) -> DataFrame:
@@ -15,7 +16,8 @@ def inverted_index(df: DataFrame, body: str, key: str, prefix: str, *, part_item
     An address linked from very many rows is continued in further parts.
     """
     link = first_link(unescape_html(F.lower(F.col(body))), prefix)
-    linked = df.select(link.alias("url"), F.col(key).alias("_id")).dropna()
+    # written once: the narrow table of links is looked at twice, the texts only here
+    linked = cut_lineage(df.select(link.alias("url"), F.col(key).alias("_id")).dropna())
     ids = gather(linked, ["url"], F.col("_id"), out="_ids", part_items=part_items)
     return ids.select("url", "part", F.array_join(F.col("_ids").cast("array<string>"), " ").alias("ids"))
 
@@ -26,13 +28,14 @@ def _document_counts(df: DataFrame, document: str, text: str | Column, whole_row
         words = explode_words(df, text, keep=[document])
         per_document = words.groupBy("word", document).agg(F.count("*").alias("_n"))
         return per_document.groupBy("word").agg(F.sum("_n").alias("tf"), F.count("*").alias("df"))
-    # in sorted order a word is new to its row where it differs from the one before
-    words = df.select(F.sort_array(letter_tokens(text)).alias("_words"))
-    marked = F.transform(
-        "_words", lambda w, i: F.struct(w.alias("word"), (~w.eqNullSafe(F.get("_words", i - 1))).alias("_new"))
+    # every word once per occurrence, and once more with a blank behind it per row
+    words = df.select(letter_tokens(text).alias("_words"))
+    once = F.transform(F.array_distinct("_words"), lambda w: F.concat(w, F.lit(" ")))
+    marked = words.select(F.explode(F.concat("_words", once)).alias("_word"))
+    is_mark = F.col("_word").endswith(" ")
+    return marked.groupBy(F.rtrim("_word").alias("word")).agg(
+        F.count_if(~is_mark).alias("tf"), F.count_if(is_mark).alias("df")
     )
-    flags = words.select(F.inline(marked))
-    return flags.groupBy("word").agg(F.count("*").alias("tf"), F.count_if("_new").alias("df"))
 
 
 def term_weights(

@@ -515,7 +515,7 @@ def pair_lines(spark, sf_dir):
 def _generated_comments(spark, sf_dir):
     """As many comments as there are events, with words of the benchmark items."""
     rows = table(spark, sf_dir, "events").count()
-    return synthetic.synthetic_comments(spark, 1, rows, _member_words(spark, sf_dir), "member", seed=11)
+    return synthetic.synthetic_comments(spark, rows, _member_words(spark, sf_dir), "member", seed=11)
 
 
 def _generated_users(spark, sf_dir):
@@ -523,7 +523,7 @@ def _generated_users(spark, sf_dir):
     rows = table(spark, sf_dir, "customer").count()
     cities = table(spark, sf_dir, "nation")
     words = _member_words(spark, sf_dir)
-    return synthetic.synthetic_users(spark, 1, rows, words, "member", cities, "n_name", seed=13)
+    return synthetic.synthetic_users(spark, rows, words, "member", cities, "n_name", seed=13)
 
 
 def synthetic_comments(spark, sf_dir):

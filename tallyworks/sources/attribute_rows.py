@@ -21,7 +21,8 @@ def parse_attributes(column: str | Column) -> Column:
     last = F.filter(
         pairs, lambda pair, i: ~F.array_contains(F.slice(names, i + F.lit(2), F.size(names)), pair["key"])
     )
-    return F.map_from_entries(last)
+    repeated = F.size(F.array_distinct(names)) < F.size(names)
+    return F.when(repeated, F.map_from_entries(last)).otherwise(F.map_from_arrays(names, values))
 
 
 def read_attribute_rows(spark: SparkSession, path) -> DataFrame:

@@ -18,6 +18,8 @@ WORDS_PER_TEXT = 30
 LETTERS_PER_NAME = 30
 LETTERS = "abcdefghijklmnopqrstuvwxy"
 
+#: Rows a task makes when the number of tasks is not stated.
+ROWS_PER_TASK = 1_000_000
 #: Moments are drawn from 1970 up to this second (2100-01-01).
 LAST_SECOND = 4_102_444_800
 
@@ -56,8 +58,9 @@ class _Draws:
         return F.concat_ws(between, *[F.when(length > i, draw()) for i in range(most)])
 
 
-def _rows(spark: SparkSession, tasks: int, rows_per_task: int) -> DataFrame:
-    return spark.range(0, tasks * rows_per_task, 1, tasks)
+def _rows(spark: SparkSession, rows: int, tasks: int | None) -> DataFrame:
+    tasks = tasks or max(spark.sparkContext.defaultParallelism, rows // ROWS_PER_TASK)
+    return spark.range(0, rows, 1, tasks)
 
 
 def _word_list(words: DataFrame, column: str) -> DataFrame:
@@ -69,12 +72,12 @@ def _word_list(words: DataFrame, column: str) -> DataFrame:
 
 
 def synthetic_comments(
-    spark: SparkSession, tasks: int, rows_per_task: int, words: DataFrame, word: str, seed: int = 0
+    spark: SparkSession, rows: int, words: DataFrame, word: str, *, tasks: int | None = None, seed: int = 0
 ) -> DataFrame:
     """Comment rows with random ids, score, date and a text of 1 to 30 words of a list."""
     listed, draw = _word_list(words, word), _Draws(seed)
-    rows = _rows(spark, tasks, rows_per_task).withColumn("_words", draw.below(WORDS_PER_TEXT) + 1)
-    return rows.select(
+    made = _rows(spark, rows, tasks).withColumn("_words", draw.below(WORDS_PER_TEXT) + 1)
+    return made.select(
         draw.below(IDS).alias("Id"),
         draw.below(IDS).alias("PostId"),
         draw.below(SCORES).cast("int").alias("Score"),
@@ -86,20 +89,21 @@ def synthetic_comments(
 
 def synthetic_users(
     spark: SparkSession,
-    tasks: int,
-    rows_per_task: int,
+    rows: int,
     words: DataFrame,
     word: str,
     cities: DataFrame,
     city: str,
+    *,
+    tasks: int | None = None,
     seed: int = 0,
 ) -> DataFrame:
     """User rows with random reputation, name, dates, city, text and votes."""
     listed, places, draw = _word_list(words, word), _word_list(cities, city), _Draws(seed)
-    rows = _rows(spark, tasks, rows_per_task).select(
+    made = _rows(spark, rows, tasks).select(
         (draw.below(WORDS_PER_TEXT) + 1).alias("_words"), (draw.below(LETTERS_PER_NAME) + 1).alias("_letters")
     )
-    return rows.select(
+    return made.select(
         draw.below(IDS).alias("Id"),
         draw.below(IDS).cast("int").alias("Reputation"),
         draw.moment().alias("CreationDate"),
