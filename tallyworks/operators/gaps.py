@@ -2,67 +2,87 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyworks.operators.medians import exact_medians
 from tallyworks.session import cut_lineage
 
-#: Width of the stretches a key's rounds are cut into; at most this many rounds fall in one.
-STRETCH = 1_000_000
+#: Least width of the stretches a key's rounds are cut into.
+LEAST_STRETCH = 1_000_000
 #: Largest number of rows a single generator call makes.
 CHUNK = 1_000_000
 
 
-def gap_counts(df: DataFrame, key: str, order: str, *, stretch: int = STRETCH) -> DataFrame:
-    """Gaps with their number of occurrences; ``order`` is an integer column.
+def _seen(df: DataFrame, key: str, order: str) -> DataFrame:
+    """Occurrences per key and round. Written once, since several parts of the result start here."""
+    rounds = df.select(F.col(key), F.col(order).cast("bigint").alias(order)).dropna()
+    return cut_lineage(rounds.groupBy(key, order).agg(F.count("*").alias("_n")))
+
+
+def _first_gaps(seen: DataFrame, key: str, order: str, stretch: int | None) -> DataFrame:
+    """Gap of the first occurrence in every round of a key.
 
-    Occurrences in the same round are counted first: all but one of them have gap 0. The distinct
-    rounds of a key are then cut into stretches of fixed width, which bounds what one window
-    partition can hold. Inside a stretch the gap is a plain lag; the first round of a stretch
-    looks back to the last one of the stretch before, and the very first looks back to 0.
+    The distinct rounds of a key are cut into stretches of fixed width, which bounds what one
+    window partition can hold; by default the width is the root of the range of rounds, so that a
+    key has no more stretches than a stretch has rounds. Inside a stretch the gap is a plain lag;
+    the first round of a stretch looks back to the last one of the stretch before, and the very
+    first looks back to 0.
     """
-    rounds = df.select(F.col(key), F.col(order).cast("bigint").alias(order)).dropna()
-    seen = rounds.groupBy(key, order).agg(F.count("*").alias("_n"))
+    if stretch is None:
+        ends = seen.agg(F.min(order).alias("low"), F.max(order).alias("high")).first()
+        stretch = max(LEAST_STRETCH, math.isqrt(ends["high"] - ends["low"]) if ends["high"] is not None else 1)
     # whole-number floor division: exact for negative rounds and beyond 2^53 as well
     cut = (F.col(order) - F.pmod(F.col(order), F.lit(stretch).cast("bigint"))).alias("_stretch")
     once = seen.select(key, order, cut)
-
     inside = once.withColumn(
         "gap", F.col(order) - F.lag(order).over(Window.partitionBy(key, "_stretch").orderBy(order))
     ).filter(F.col("gap").isNotNull())
     ends = once.groupBy(key, "_stretch").agg(F.min(order).alias(order), F.max(order).alias("_end"))
     back = F.lag("_end", 1, 0).over(Window.partitionBy(key).orderBy("_stretch"))
     across = ends.withColumn("gap", F.col(order) - back)
+    return inside.select(key, order, "gap").unionByName(across.select(key, order, "gap"))
 
-    one = F.lit(1).cast("bigint").alias("n")
-    repeats = seen.filter(F.col("_n") > 1).select(
-        key, order, F.lit(0).cast("bigint").alias("gap"), (F.col("_n") - 1).alias("n")
-    )
-    return (
-        inside.select(key, order, "gap", one)
-        .unionByName(across.select(key, order, "gap", one))
-        .unionByName(repeats)
-    )
 
+def _repeats(seen: DataFrame, key: str, order: str) -> DataFrame:
+    """Further occurrences in a round, which have gap 0, with their number."""
+    zero = F.lit(0).cast("bigint").alias("gap")
+    return seen.filter(F.col("_n") > 1).select(key, order, zero, (F.col("_n") - 1).alias("n"))
 
-def gaps(df: DataFrame, key: str, order: str, *, stretch: int = STRETCH, chunk: int = CHUNK) -> DataFrame:
-    """One row per occurrence with its gap. Large repeats are made in chunks over several tasks."""
-    counted = gap_counts(df, key, order, stretch=stretch)
 
-    def spread(rows: DataFrame, n: str) -> DataFrame:
-        return rows.select(key, order, "gap", F.explode(F.sequence(F.lit(1), F.col(n).cast("int"))).alias("_i"))
+def gap_counts(df: DataFrame, key: str, order: str, *, stretch: int | None = None) -> DataFrame:
+    """Gaps of the occurrences of a key with their number; ``order`` is an integer column."""
+    seen = _seen(df, key, order)
+    first = _first_gaps(seen, key, order, stretch).withColumn("n", F.lit(1).cast("bigint"))
+    return first.unionByName(_repeats(seen, key, order))
+
 
-    plain = counted.filter(F.col("n") <= chunk)
-    large = counted.filter(F.col("n") > chunk)
-    chunks = large.select(
-        key, order, "gap", "n", F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"(n - 1) div {chunk}"))).alias("_c")
-    ).withColumn("_m", F.least(F.lit(chunk).cast("bigint"), F.col("n") - F.col("_c") * chunk))
-    dealt = chunks.repartition(key, order, "_c")
-    return spread(plain, "n").unionByName(spread(dealt, "_m")).select(key, order, "gap")
+def gaps(df: DataFrame, key: str, order: str, *, stretch: int | None = None, chunk: int = CHUNK) -> DataFrame:
+    """One row per occurrence with its gap. Large repeats are made in chunks over several tasks."""
+    seen = _seen(df, key, order)
+    repeats = _repeats(seen, key, order)
+    size = F.lit(chunk).cast("bigint")
+
+    def made(rows: DataFrame, n: str) -> DataFrame:
+        each = rows.select(key, order, "gap", F.explode(F.sequence(F.lit(1), F.col(n).cast("int"))).alias("_i"))
+        return each.drop("_i")
+
+    chunks = (
+        repeats.filter(F.col("n") > chunk)
+        .withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"(n - 1) div {chunk}"))))
+        .withColumn("_m", F.least(size, F.col("n") - F.col("_chunk") * size))
+        .repartition(key, order, "_chunk")
+    )
+    return (
+        _first_gaps(seen, key, order, stretch)
+        .unionByName(made(repeats.filter(F.col("n") <= chunk), "n"))
+        .unionByName(made(chunks, "_m"))
+    )
 
 
-def gap_stats(df: DataFrame, key: str, order: str, *, stretch: int = STRETCH) -> DataFrame:
+def gap_stats(df: DataFrame, key: str, order: str, *, stretch: int | None = None) -> DataFrame:
     """Number, mean, sample deviation and median of the gaps of a key, and its last round.
 
     Everything follows from the number of occurrences of each gap of a key. That table is written

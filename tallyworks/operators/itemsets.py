@@ -8,27 +8,27 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyworks.session import cut_lineage
-
-
-def _pairs(df: DataFrame, basket: str, item: str) -> DataFrame:
-    return df.select(basket, item).dropna().distinct()
+from tallyworks.session import broadcast_if_small, cut_lineage
 
 
 def frequent_items(df: DataFrame, basket: str, item: str, min_support: int) -> DataFrame:
     """Items that occur in at least ``min_support`` baskets, with that number."""
-    counts = _pairs(df, basket, item).groupBy(item).agg(F.count("*").alias("support"))
+    pairs = df.select(basket, item).dropna().distinct()
+    counts = pairs.groupBy(item).agg(F.count("*").alias("support"))
     return counts.filter(F.col("support") >= min_support)
 
 
 def frequent_baskets(df: DataFrame, basket: str, item: str, min_support: int) -> DataFrame:
     """Baskets cut down to their frequent items, sorted and each once.
 
-    An array can hold no more than the frequent items there are, however often a basket occurs.
+    The frequent items are found first. They are sent to the rows when they are few, which keeps
+    the rows from being shuffled by item, where a common item would fill one partition. A basket
+    can hold no more items than there are frequent ones, however often it occurs, and its repeats
+    are dropped before the shuffle.
     """
-    kept = frequent_items(df, basket, item, min_support).select(item)
-    pairs = _pairs(df, basket, item).join(kept, item, "left_semi")
-    return pairs.groupBy(basket).agg(F.sort_array(F.collect_set(item)).alias("items"))
+    kept = cut_lineage(frequent_items(df, basket, item, min_support).select(item))
+    rows = df.select(basket, item).dropna(subset=[basket]).join(broadcast_if_small(kept), item, "left_semi")
+    return rows.groupBy(basket).agg(F.sort_array(F.collect_set(item)).alias("items"))
 
 
 def frequent_itemsets(

@@ -4,13 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Up to this many different values one task may hold the value counts of a group.
 SMALL_DOMAIN = 100_000
-#: Ranges the values are cut into beyond that.
-RANGES = 256
+#: Ranges the values are cut into beyond that, and cut points compared at once to find a range.
+RANGES = 4096
+BLOCK = 64
+
+
+def _range_of(number: Column, cuts: list[float], block: int = BLOCK) -> Column:
+    """Number of cut points below a value: first whole blocks of them, then those of one block."""
+    ends = cuts[block - 1 :: block]
+    blocks = F.size(F.filter(F.lit(ends), lambda c: c < number)) if ends else F.lit(0)
+    rest = F.slice(F.lit(cuts), blocks * block + 1, F.lit(block))
+    return blocks * block + F.size(F.filter(rest, lambda c: c < number))
 
 
 def exact_medians(
@@ -42,9 +51,7 @@ def exact_medians(
         return weighted.groupBy(*keys).agg(F.percentile(value, 0.5, F.col(weight)).alias("median"))
 
     cuts = sorted({float(c) for c in profile["cuts"]})
-    number = F.col(value).cast("double")
-    spot = F.size(F.filter(F.lit(cuts), lambda c: c < number))
-    placed = weighted.withColumn("_range", spot)
+    placed = weighted.withColumn("_range", _range_of(F.col(value).cast("double"), cuts))
 
     by_range = placed.groupBy(*keys, "_range").agg(F.sum(weight).alias("_n"))
     in_order = Window.partitionBy(*keys).orderBy("_range")

@@ -49,7 +49,7 @@ def expected_medians(data):
     return groups
 
 
-@pytest.mark.parametrize("small_domain, ranges", [(100_000, 256), (0, 256), (0, 4), (0, 2)])
+@pytest.mark.parametrize("small_domain, ranges", [(100_000, 4096), (0, 4096), (0, 100), (0, 4), (0, 2)])
 def test_exact_medians(spark, small_domain, ranges):
     rng = random.Random(3)
     data = [(rng.choice("abc"), rng.choice([rng.random(), 0.25, 0.5])) for _ in range(600)]
@@ -62,6 +62,14 @@ def test_exact_medians(spark, small_domain, ranges):
     assert {r["k"]: r["median"] for r in found.collect()} == pytest.approx(expected)
 
 
+def test_range_of_counts_the_cuts_below(spark):
+    cuts = [float(i) for i in range(0, 300, 3)]
+    numbers = spark.range(-5, 320).select(F.col("id").cast("double").alias("v"))
+    for block in (1, 7, 64, 100, 200):
+        found = numbers.select("v", medians._range_of(F.col("v"), cuts, block).alias("r")).collect()
+        assert all(r["r"] == sum(c < r["v"] for c in cuts) for r in found)
+
+
 def test_median_and_deviation(spark):
     data = [(1, 2.0), (1, 4.0), (1, 9.0), (2, 5.0), (3, 1.0), (3, 2.0), (4, None)]
     df = spark.createDataFrame(data, "k int, v double")
@@ -83,7 +91,7 @@ def brute_gaps(data):
     return out
 
 
-@pytest.mark.parametrize("stretch, chunk", [(1_000_000, 1_000_000), (3, 2), (1, 1), (7, 3)])
+@pytest.mark.parametrize("stretch, chunk", [(None, 1_000_000), (3, 2), (1, 1), (7, 3)])
 def test_gaps(spark, stretch, chunk):
     rng = random.Random(5)
     data = [(rng.randrange(4), rng.randrange(-5, 60)) for _ in range(150)] + [(9, 12)] * 8 + [(8, 10**17), (8, 10**17 + 1)]
