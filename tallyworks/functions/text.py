@@ -108,10 +108,11 @@ def raw_tokens(column) -> Column:
     """Distinct tokens in their own case: white-space split, quotes removed, other signs to blanks.
 
     A sign inside a token leaves a blank inside it, and a token of signs alone is kept as blanks.
-    The text is cleaned as a whole, with line feeds as the only delimiter left.
+    The text is cleaned as a whole: one pass turns every delimiter into a line feed and drops
+    quotes, another turns the other signs into blanks.
     """
-    lines = F.regexp_replace(_as_column(column), RAW_DELIMITERS, "\n")
-    cleaned = F.regexp_replace(F.replace(lines, F.lit("'"), F.lit("")), r"[^a-zA-Z\n]", " ")
+    lines = F.translate(_as_column(column), " \t\r\f'", "\n\n\n\n")
+    cleaned = F.regexp_replace(lines, r"[^a-zA-Z\n]", " ")
     return F.array_remove(F.array_distinct(F.split(cleaned, "\n")), "")
 
 

@@ -20,19 +20,27 @@ from tallyworks.session import broadcast_if_small
 HOW = ("inner", "left", "right", "full", "anti")
 
 
+def _apart(left: DataFrame, right: DataFrame, right_key: str) -> tuple[DataFrame, str]:
+    """The right side with ``_right`` behind the names that both sides have, and its key."""
+    taken = {c.lower() for c in left.columns}
+    names = {c: f"{c}_right" for c in right.columns if c.lower() in taken}
+    return right.withColumnsRenamed(names), names.get(right_key, right_key)
+
+
 def _unmatched(rows: DataFrame, key: str, other: DataFrame, other_key: str) -> DataFrame:
     keys = other.select(F.col(other_key).alias("_key")).distinct()
     return rows.join(keys, F.col(key) == F.col("_key"), "left_anti")
 
 
 def keyed_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str, how: str = "inner") -> DataFrame:
-    """Join of two tables with different column names.
+    """Join on one key of each side; columns of the right side whose name is taken end in ``_right``.
 
     ``anti`` keeps the rows of *either* side that have no partner. Columns of a side that is
     absent from a row are null.
     """
     if how not in HOW:
         raise ValueError(f"how must be one of {HOW}")
+    right, right_key = _apart(left, right, right_key)
     left, right = left.dropna(subset=[left_key]), right.dropna(subset=[right_key])
     parts = []
     if how != "anti":
@@ -74,6 +82,7 @@ def replicated_join(
     small = small.dropna(subset=[small_key])
     if order is not None:
         small = one_per_key(small, small_key, order)
+    small, small_key = _apart(rows, small, small_key)
     rows = rows.dropna(subset=[row_key])
     return rows.join(broadcast_if_small(small), F.col(row_key) == F.col(small_key), how)
 

@@ -41,16 +41,16 @@ def exact_medians(
     the answer does not depend on how well the cut points are placed.
 
     The look at the values beforehand reads ``rows``, the uncounted input, when it is given, which
-    spares a shuffle; it returns one row of fixed size.
+    spares a shuffle; it returns one number or a fixed number of cut points.
     """
-    profile = (weighted if rows is None else rows).agg(
-        F.approx_count_distinct(value).alias("domain"),
-        F.percentile_approx(value, [i / ranges for i in range(1, ranges)], 4 * ranges).alias("cuts"),
-    ).first()
-    if profile["domain"] <= small_domain:
+    looked_at = weighted if rows is None else rows
+    domain = looked_at.agg(F.approx_count_distinct(value)).first()[0]
+    if domain <= small_domain:
         return weighted.groupBy(*keys).agg(F.percentile(value, 0.5, F.col(weight)).alias("median"))
 
-    cuts = sorted({float(c) for c in profile["cuts"]})
+    points = [i / ranges for i in range(1, ranges)]
+    found = looked_at.agg(F.percentile_approx(value, points, 4 * ranges)).first()[0]
+    cuts = sorted({float(c) for c in found})
     placed = weighted.withColumn("_range", _range_of(F.col(value).cast("double"), cuts))
 
     by_range = placed.groupBy(*keys, "_range").agg(F.sum(weight).alias("_n"))

@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyworks.session import broadcast_if_small
+from tallyworks.operators.joins import one_per_key
+from tallyworks.session import broadcast_if_small, cut_lineage
 
 #: Number of items one record is meant to hold.
 PART_ITEMS = 100_000
@@ -34,6 +35,7 @@ def gather(df: DataFrame, keys: Sequence[str], item: Column, *, out: str, part_i
     if large.isEmpty():
         return collected(rows).select(*keys, "part", out)
 
+    large = cut_lineage(large)
     tagged = rows.join(broadcast_if_small(large), list(keys), "left")
     small_groups = collected(tagged.filter(F.col("_n").isNull()))
     lots = (
@@ -60,18 +62,19 @@ def nest(
     child_columns: Sequence[str],
     *,
     keep_childless: bool = True,
+    order: Sequence[str] | None = None,
     out: str = "children",
     part_items: int = PART_ITEMS,
 ) -> DataFrame:
     """Parents with the array of their children; children without a parent are dropped.
 
-    Parents must be unique by key. A parent with very many children takes several records, told
+    Parents must be unique by key, unless ``order`` states which of several counts: the last. A parent with very many children takes several records, told
     apart by ``part``.
     """
     item = F.struct(*[F.col(c) for c in child_columns])
     key = children.withColumn("_parent", F.col(child_key))
     gathered = gather(key, ["_parent"], item, out=out, part_items=part_items)
-    rows = parents.dropna(subset=[parent_key])
+    rows = one_per_key(parents, parent_key, order) if order is not None else parents.dropna(subset=[parent_key])
     how = "left" if keep_childless else "inner"
     joined = rows.join(gathered, F.col(parent_key) == F.col("_parent"), how).drop("_parent")
     if not keep_childless:

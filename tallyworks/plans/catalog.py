@@ -26,7 +26,7 @@ from tallyworks.operators import (
     summaries,
     topk,
 )
-from tallyworks.session import scratch_path
+from tallyworks.session import scratch_path, spread
 from tallyworks.sources import attribute_rows, corpus, delimited, sinks, synthetic
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,6 +46,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _texts(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """Columns of a table of texts, ahead of work on every word."""
+    return spread(table(spark, sf_dir, name).select(*columns))
+
+
 def _rounded(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.round(c, DIGITS) for c in columns})
 
@@ -54,37 +59,37 @@ def _rounded(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def word_count(spark, sf_dir):
-    return counting.word_count(table(spark, sf_dir, "documents"), "text")
+    return counting.word_count(_texts(spark, sf_dir, "documents", "text"), "text")
 
 
 def word_count_lines(spark, sf_dir):
-    return counting.word_count(table(spark, sf_dir, "conversations"), "text")
+    return counting.word_count(_texts(spark, sf_dir, "conversations", "text"), "text")
 
 
 def word_count_pages(spark, sf_dir):
-    return counting.word_count(table(spark, sf_dir, "pages"), "html")
+    return counting.word_count(_texts(spark, sf_dir, "pages", "html"), "html")
 
 
 def word_count_top10(spark, sf_dir):
-    return topk.top_words(table(spark, sf_dir, "documents"), "text")
+    return topk.top_words(_texts(spark, sf_dir, "documents", "text"), "text")
 
 
 def word_count_stopwords(spark, sf_dir):
-    return counting.word_count_split(table(spark, sf_dir, "documents"), "text")
+    return counting.word_count_split(_texts(spark, sf_dir, "documents", "text"), "text")
 
 
 def listed_word_count(spark, sf_dir):
-    return counting.listed_word_count(table(spark, sf_dir, "documents"), "text")
+    return counting.listed_word_count(_texts(spark, sf_dir, "documents", "text"), "text")
 
 
 def counter_report(spark, sf_dir):
     """Counters of the split word count: occurrences per stopword."""
-    counts = counting.word_count_split(table(spark, sf_dir, "documents"), "text")
+    counts = counting.word_count_split(_texts(spark, sf_dir, "documents", "text"), "text")
     return counts.filter("is_stopword").select(F.lit("words").alias("counter_group"), F.col("word").alias("counter"), "n")
 
 
 def word_count_without_stopwords(spark, sf_dir):
-    documents, stop = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    documents, stop = _texts(spark, sf_dir, "documents", "text"), table(spark, sf_dir, "benchmark")
     return counting.word_count_without(documents, "text", stop, "text")
 
 
@@ -177,12 +182,13 @@ def gap_stats(spark, sf_dir):
 
 
 def gap_stats_users(spark, sf_dir):
-    """Gaps in microseconds between the events of a user."""
-    events = table(spark, sf_dir, "events").select("user_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("micros"))
-    first = F.unix_micros(F.lit("2024-01-01 00:00:00").cast("timestamp_ntz").cast("timestamp"))
-    since = events.withColumn("micros", F.col("micros") - first)
-    result = gaps.gap_stats(since, "user_id", "micros")
-    # seconds: the mean of microseconds has no more than these digits in common with other engines
+    """Gaps in microseconds between the events of a user, counted from a fixed day."""
+    day = F.date_diff(F.to_date("ts"), F.lit("2024-01-01").cast("date")).cast("bigint")
+    minute = day * 1440 + F.hour("ts") * 60 + F.minute("ts")
+    micros = minute * 60_000_000 + (F.extract(F.lit("SECOND"), "ts") * 1_000_000).cast("bigint")
+    events = table(spark, sf_dir, "events").select("user_id", micros.alias("micros"))
+    result = gaps.gap_stats(events, "user_id", "micros")
+    # in seconds, since the mean of microseconds has no more digits than these in common with other engines
     return result.select(
         "user_id", "n", "last", "median", *[F.round(F.col(c) / 1e6, 3).alias(c) for c in ("average", "stddev")]
     )
@@ -206,7 +212,7 @@ def class_count(spark, sf_dir):
 
 
 def word_count_by_state(spark, sf_dir):
-    events = table(spark, sf_dir, "events").select("user_id", _event_text().alias("text"))
+    events = spread(table(spark, sf_dir, "events").select("user_id", _event_text().alias("text")))
     return joins.word_count_by_place(_people(spark, sf_dir), "c_custkey", "place", events, "user_id", "text", PLACES)
 
 
@@ -359,18 +365,18 @@ def top10_distinct_values(spark, sf_dir):
 
 
 def anonymize(spark, sf_dir):
-    return organize.anonymize(table(spark, sf_dir, "events"), ["event_id", "user_id"], "ts", partitions=10)
+    return organize.anonymize(table(spark, sf_dir, "events"), ["event_id", "user_id"], "ts")
 
 
 def anonymize_rows(spark, sf_dir):
     """Anonymized rows in text form."""
-    rows = organize.anonymize(table(spark, sf_dir, "events"), ["event_id", "user_id", "value"], "ts", partitions=10)
+    rows = organize.anonymize(table(spark, sf_dir, "events"), ["event_id", "user_id", "value"], "ts")
     return rows.select(attribute_rows.attribute_row(["ts", "event_type", "props"], tail=">").alias("line"))
 
 
 def anonymize_and_distinct(spark, sf_dir):
     events = table(spark, sf_dir, "events")
-    rows, users = organize.anonymize_and_distinct(events, ["event_id", "user_id"], "ts", "user_id", partitions=10)
+    rows, users = organize.anonymize_and_distinct(events, ["event_id", "user_id"], "ts", "user_id")
     return rows.withColumn("result", F.lit("anonymize")).unionByName(
         users.withColumn("result", F.lit("distinct")), allowMissingColumns=True
     )
@@ -383,7 +389,7 @@ def shuffle_rows(spark, sf_dir):
 def _posts(spark, sf_dir):
     """Documents as posts with an escaped tag text."""
     tags = F.concat(F.lit("&lt;"), "lang", F.lit("&gt;&lt;"), "source", F.lit("&gt;"))
-    return table(spark, sf_dir, "documents").select("doc_id", tags.alias("tags"), "text")
+    return spread(table(spark, sf_dir, "documents").select("doc_id", tags.alias("tags"), "text"))
 
 
 def _binned(spark, sf_dir):
@@ -408,11 +414,11 @@ def bins_by_year(spark, sf_dir):
 
 
 def inverted_index(spark, sf_dir):
-    return index.inverted_index(table(spark, sf_dir, "pages"), "html", "page_id", "/")
+    return index.inverted_index(_texts(spark, sf_dir, "pages", "page_id", "html"), "html", "page_id", "/")
 
 
 def term_weights(spark, sf_dir):
-    return _rounded(index.term_weights(table(spark, sf_dir, "documents"), "doc_id", "text", whole_rows=True), "weight")
+    return _rounded(index.term_weights(_texts(spark, sf_dir, "documents", "doc_id", "text"), "doc_id", "text", whole_rows=True), "weight")
 
 
 def corpus_term_weights(spark, sf_dir):
@@ -480,7 +486,7 @@ CUSTOMER_FIELDS = {
 def xml_roundtrip(spark, sf_dir):
     """Events written as attribute rows and read back."""
     path = scratch_path(spark, "attribute-rows")
-    events = table(spark, sf_dir, "events").select(*EVENT_FIELDS)
+    events = _texts(spark, sf_dir, "events", *EVENT_FIELDS)
     sinks.write_lines(events, path, attribute_rows.attribute_row(list(EVENT_FIELDS)))
     rows = attribute_rows.read_attribute_rows(spark, path)
     return attribute_rows.project_fields(rows, EVENT_FIELDS, unescape=unescape_html)
@@ -504,7 +510,7 @@ def csv_roundtrip(spark, sf_dir):
 def pair_lines(spark, sf_dir):
     """Word counts as tab-separated lines, written and read back."""
     path = scratch_path(spark, "pairs")
-    counts = counting.word_count(table(spark, sf_dir, "conversations"), "text")
+    counts = counting.word_count(_texts(spark, sf_dir, "conversations", "text"), "text")
     sinks.write_pairs(counts, path, ["word", "n"])
     return spark.read.text(path).withColumnRenamed("value", "line")
 

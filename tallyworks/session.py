@@ -54,3 +54,13 @@ def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
 def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Broadcast hint when the measured size allows it; otherwise the join shuffles both sides."""
     return F.broadcast(df) if fits_broadcast(df, max_bytes) else df
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A scan that gives fewer tasks than there are cores, dealt out to all of them.
+
+    Meant ahead of costly work per row on inputs that cannot be split, such as a gzip file or one
+    large row group. A scan with enough tasks, as any large one has, stays as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyworks.functions.moments import format_moment
-from tallyworks.session import BROADCAST_BYTES, fits_broadcast
+from tallyworks.session import fits_broadcast
 
 # Ranges of the generated fields.
 IDS = 1_000_000_000
@@ -18,6 +18,8 @@ WORDS_PER_TEXT = 30
 LETTERS_PER_NAME = 30
 LETTERS = "abcdefghijklmnopqrstuvwxy"
 
+#: Largest word list, in bytes.
+WORD_LIST_BYTES = 8 * 1024 * 1024
 #: Rows a task makes when the number of tasks is not stated.
 ROWS_PER_TASK = 1_000_000
 #: Moments are drawn from 1970 up to this second (2100-01-01).
@@ -66,8 +68,8 @@ def _rows(spark: SparkSession, rows: int, tasks: int | None) -> DataFrame:
 def _word_list(words: DataFrame, column: str) -> DataFrame:
     """Different words of a list that is small enough to be held by every task."""
     listed = words.select(column).dropna().distinct()
-    if not fits_broadcast(listed):
-        raise ValueError(f"a word list may hold {BROADCAST_BYTES} bytes at most")
+    if not fits_broadcast(listed, WORD_LIST_BYTES):
+        raise ValueError(f"a word list may hold {WORD_LIST_BYTES} bytes at most")
     return listed
 
 

@@ -59,6 +59,21 @@ def test_replicated_join_without_room(sides, monkeypatch):
     assert ("b2", "z") in pairs(joins.replicated_join(right, left, "cid", "uid", "left", order=["name"]))
 
 
+@pytest.mark.parametrize("how, n", [("inner", 2), ("left", 3), ("full", 4), ("anti", 2)])
+def test_sides_may_share_names(spark, how, n):
+    users = spark.createDataFrame([(1, "u1"), (2, "u2")], "Id int, CreationDate string")
+    comments = spark.createDataFrame([(7, 1, "c1"), (8, 1, "c2"), (9, 5, "c3")], "id int, UserId int, CreationDate string")
+    joined = joins.keyed_join(users, comments, "Id", "UserId", how)
+    assert joined.columns[:2] == ["Id", "CreationDate"] or how == "anti"
+    assert joined.count() == n
+    if how == "inner":
+        assert sorted(map(tuple, joined.collect())) == [(1, "u1", 7, 1, "c1"), (1, "u1", 8, 1, "c2")]
+    swapped = joins.keyed_join(comments, users, "UserId", "Id", "inner")
+    assert {(r["CreationDate"], r["CreationDate_right"]) for r in swapped.collect()} == {("c1", "u1"), ("c2", "u1")}
+    copied = joins.replicated_join(comments, users, "UserId", "Id", "left")
+    assert copied.count() == 3 and copied.filter("Id_right is null").count() == 1
+
+
 def test_unknown_kind(sides):
     with pytest.raises(ValueError):
         joins.keyed_join(*sides, "uid", "cid", "cross")
@@ -89,6 +104,12 @@ def test_nest(family):
     assert nested(kept) == [(1, 0, ["a", "b"]), (2, 0, ["z"])]
 
 
+def test_last_of_several_parents_counts(spark, family):
+    parents = spark.createDataFrame([(1, "old"), (1, "new")], "pid int, title string")
+    found = nesting.nest(parents, family[1], "pid", "ref", ["c"], order=["title"]).collect()
+    assert [(r["title"], len(r["children"])) for r in found] == [("old", 2)]
+
+
 def test_nest_by_role(spark):
     posts = spark.createDataFrame([(1, None, 1), (2, 1, 2), (3, 1, 2), (4, None, 1), (5, 99, None)], "id int, ref int, kind int")
     found = nesting.nest_by_role(posts, F.col("kind") == 1, "id", "ref", ["id"])

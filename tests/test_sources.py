@@ -116,7 +116,7 @@ def test_synthetic_ranges(spark):
 
 
 def test_synthetic_word_list_is_bounded(spark, monkeypatch):
-    monkeypatch.setattr(synthetic, "fits_broadcast", lambda df: False)
+    monkeypatch.setattr(synthetic, "fits_broadcast", lambda df, size: False)
     words = spark.createDataFrame([("red",)], "w string")
     with pytest.raises(ValueError):
         synthetic.synthetic_comments(spark, 10, words, "w")

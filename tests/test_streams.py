@@ -1,0 +1,21 @@
+"""Row filters and grouped counts run unchanged on a streaming DataFrame."""
+
+from tallyworks.operators import counting, filters, summaries
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def run(spark, df, name, mode):
+    query = df.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True).start()
+    query.awaitTermination(120)
+    return {tuple(r) for r in spark.table(name).collect()}
+
+
+def test_stream_equals_batch(spark):
+    batch = spark.read.parquet(f"{SF_DIR}/events.parquet")
+    stream = spark.readStream.schema(batch.schema).option("pathGlobFilter", "events.parquet").parquet(SF_DIR)
+    spans = summaries.min_max_count(batch, "user_id", "ts").collect()
+    assert run(spark, summaries.min_max_count(stream, "user_id", "ts"), "spans", "complete") == {tuple(r) for r in spans}
+    words = counting.word_count(filters.not_category(batch, "event_type", "error"), "event_type").collect()
+    streamed = counting.word_count(filters.not_category(stream, "event_type", "error"), "event_type")
+    assert run(spark, streamed, "words", "complete") == {tuple(r) for r in words}
