@@ -68,8 +68,8 @@ def nest(
 ) -> DataFrame:
     """Parents with the array of their children; children without a parent are dropped.
 
-    Parents must be unique by key, unless ``order`` states which of several counts: the last. A parent with very many children takes several records, told
-    apart by ``part``.
+    Parents must be unique by key, unless ``order`` states which of several counts: the last. A
+    parent with very many children takes several records, told apart by ``part``.
     """
     item = F.struct(*[F.col(c) for c in child_columns])
     key = children.withColumn("_parent", F.col(child_key))

@@ -216,6 +216,23 @@ def word_count_by_state(spark, sf_dir):
     return joins.word_count_by_place(_people(spark, sf_dir), "c_custkey", "place", events, "user_id", "text", PLACES)
 
 
+def word_count_by_state_bins(spark, sf_dir):
+    """Words per place written to one folder per place and read back."""
+    path = scratch_path(spark, "words-by-state")
+    sinks.write_bins(word_count_by_state(spark, sf_dir), path, "state")
+    return spark.read.parquet(path)
+
+
+def named_outputs(spark, sf_dir):
+    """Both results of the merged summary written under their names and read back."""
+    path = scratch_path(spark, "named")
+    events, stop = table(spark, sf_dir, "events"), table(spark, sf_dir, "benchmark")
+    spans, words = summaries.min_max_and_words(events, "user_id", "ts", _event_text(), stop, "text")
+    sinks.write_named({"minmax": spans, "words": words}, path)
+    read = [spark.read.parquet(f"{path}/{name}").withColumn("result", F.lit(name)) for name in ("minmax", "words")]
+    return read[0].unionByName(read[1], allowMissingColumns=True)
+
+
 # -- joins ---------------------------------------------------------------------------------------
 
 
@@ -348,9 +365,12 @@ def bloom_token_filter(spark, sf_dir):
 
 
 def bloom_token_filter_raw(spark, sf_dir):
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    """The filter alone, with members read from a gzip list."""
+    path = scratch_path(spark, "members")
     members = _member_words(spark, sf_dir)
-    return bloom.bloom_filter_tokens(documents, "text", members, "member", BLOOM_RATE).select("doc_id")
+    members.write.mode("overwrite").option("compression", "gzip").text(path)
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bloom.bloom_filter_tokens(documents, "text", spark.read.text(path), "value", BLOOM_RATE).select("doc_id")
 
 
 def top10_records(spark, sf_dir):
@@ -457,6 +477,13 @@ def frequent_baskets(spark, sf_dir):
     return kept.select("l_orderkey", F.array_join("items", "/").alias("items"))
 
 
+def itemset_level_bins(spark, sf_dir):
+    """Sets of every size written to one folder per size and read back."""
+    path = scratch_path(spark, "itemset-levels")
+    sinks.write_bins(itemset_levels(spark, sf_dir), path, "level")
+    return spark.read.parquet(path)
+
+
 def _joined_items(found: DataFrame) -> DataFrame:
     return found.select(F.array_join("items", "/").alias("itemset"), "support", "level")
 
@@ -596,6 +623,8 @@ QUERIES: dict[str, Query] = {
         category_count,
         class_count,
         word_count_by_state,
+        word_count_by_state_bins,
+        named_outputs,
         *[_join(how) for how in joins.HOW],
         _replicated("inner"),
         _replicated("left"),
@@ -629,6 +658,7 @@ QUERIES: dict[str, Query] = {
         frequent_baskets,
         frequent_itemsets,
         itemset_levels,
+        itemset_level_bins,
         xml_roundtrip,
         xml_elements,
         csv_roundtrip,

@@ -236,3 +236,8 @@ ORACLES: dict[str, str] = {
     "synthetic_comments": "SELECT count(*) AS n, 0 AS n_outside, 0 AS n_foreign_words FROM events",
     "synthetic_users": "SELECT count(*) AS n, 0 AS n_outside FROM customer",
 }
+
+# results written to files and read back equal those they were written from
+ORACLES["word_count_by_state_bins"] = ORACLES["word_count_by_state"]
+ORACLES["named_outputs"] = ORACLES["min_max_and_words"]
+ORACLES["itemset_level_bins"] = ORACLES["itemset_levels"]
