@@ -85,7 +85,7 @@ def test_first_link(spark, body, expected):
 
 
 def test_tags(spark):
-    assert one(spark, "&lt;Hadoop&gt;&lt;pig&gt;", text.tag_list) == ["hadoop", "pig"]
+    assert one(spark, "&lt;SQL&gt;&lt;etl&gt;", text.tag_list) == ["sql", "etl"]
 
 
 @pytest.mark.parametrize(
