@@ -109,10 +109,11 @@ def raw_tokens(column) -> Column:
 
     A sign inside a token leaves a blank inside it, and a token of signs alone is kept as blanks.
     The text is cleaned as a whole: one pass turns every delimiter into a line feed and drops
-    quotes, another turns the other signs into blanks.
+    quotes, another turns the other signs into blanks. Splitting and joining again does the latter
+    many times faster than a regular-expression replacement with as many matches.
     """
     lines = F.translate(_as_column(column), " \t\r\f'", "\n\n\n\n")
-    cleaned = F.regexp_replace(lines, r"[^a-zA-Z\n]", " ")
+    cleaned = F.array_join(F.split(lines, r"[^a-zA-Z\n]"), " ")
     return F.array_remove(F.array_distinct(F.split(cleaned, "\n")), "")
 
 
