@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from tallyworks.llm.components import components
 from tallyworks.llm.words import Batch, batches, mix, signed, starts_of
-from tallyworks.session import cut_lineage
+from tallyworks.session import broadcast_if_small, cut_lineage
 
 SHINGLE_WORDS = 3
 #: Linked when 100 * intersection >= PERCENT * union.
@@ -159,8 +159,11 @@ def _linked(pairs: DataFrame, docs: DataFrame, classes: DataFrame, words: int, p
     """The pairs (a, b) whose full sets are similar enough. Sets are made again, for the documents of the pairs only."""
     ends = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
     wanted = classes.join(ends, "rep", "left_semi").select(F.col("rep").alias("doc_id"), "set_a")
-    texts = docs.join(wanted.select("doc_id"), "doc_id", "left_semi")
-    sets = cut_lineage(full_sets(texts, words).join(wanted, ["doc_id", "set_a"], "left_semi").dropDuplicates(["doc_id"]))
+    # few documents have a candidate: their ids go to the texts while they fit, and the texts move only beyond that
+    wanted = cut_lineage(wanted)
+    texts = docs.join(broadcast_if_small(wanted.select("doc_id")), "doc_id", "left_semi")
+    sets = full_sets(texts, words).join(broadcast_if_small(wanted), ["doc_id", "set_a"], "left_semi")
+    sets = cut_lineage(sets.dropDuplicates(["doc_id"]))
     left, right = (sets.select(F.col("doc_id").alias(end), F.col("shingles").alias(f"of_{end}")) for end in "ab")
     shared = F.size(F.array_intersect("of_a", "of_b"))
     both = F.size("of_a") + F.size("of_b") - shared
