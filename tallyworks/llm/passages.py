@@ -125,32 +125,38 @@ def _without(text: str, repeated: set[int], min_words: int) -> tuple[str, list[i
     return left, [int(lead[a]) for a, _ in spans], [int(lead[b]) for _, b in spans], gone
 
 
+def with_passages_removed(docs: DataFrame, min_words: int = MIN_WORDS, name: str = "deduped") -> DataFrame:
+    """All columns of ``docs`` and a struct of text, span_starts, span_ends and removed_words; see ``dedupe_passages``."""
+    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where(F.col("doc_id").isNotNull())
+    placed = chunk_pairs(keyed).select("doc_id", F.posexplode("pairs").alias("place", "pair"))
+    # aggregated where they arise, so a passage that stands everywhere shuffles one row per task
+    at = F.struct("doc_id", "place")
+    first = placed.groupBy("pair").agg(F.min(at).alias("owner"), F.max(at).alias("last")).where("owner < last").select("pair", "owner")
+    again = placed.join(first, "pair").where(at != F.col("owner"))
+    repeats = again.groupBy(F.col("doc_id").alias("repeats_in")).agg(F.collect_set("place").alias("repeated_places"))
+
+    @F.pandas_udf("text string, span_starts array<long>, span_ends array<long>, removed_words long")
+    def cut(texts: pd.Series, places: pd.Series) -> pd.DataFrame:
+        rows = []
+        for text, repeated in zip(texts, places, strict=True):
+            if isinstance(text, str) and repeated is not None and len(repeated):
+                rows.append(_without(text, set(map(int, repeated)), min_words))
+            else:
+                rows.append((text if isinstance(text, str) else None, [], [], 0))
+        return pd.DataFrame(rows, columns=["text", "span_starts", "span_ends", "removed_words"])
+
+    joined = docs.join(repeats, F.col("doc_id").cast("long") == F.col("repeats_in"), "left")
+    return joined.withColumn(name, cut.asNondeterministic()(F.col("text").cast("string"), "repeated_places")).drop("repeats_in", "repeated_places")
+
+
 def dedupe_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """doc_id, text without repeated passages, span_starts and span_ends (code points of the text as it was), removed_words.
 
     The first occurrence, by doc_id and then place, stays; so one copy of a document stays whole and the others become
     empty. A passage said twice in one text stays once. Null texts stay null and empty ones empty. Rows without doc_id
-    stay as they are. Of rows with the same doc_id all hold the same place, so none removes the other: ids are expected
+    stay as they are. Rows with the same doc_id hold the same places, so none removes the other: ids are expected
     to be unique, and repeated rows are kept. Only doc_id and text are read, other columns may have any name. An empty
     table gives an empty one.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    placed = chunk_pairs(docs.where(F.col("doc_id").isNotNull())).select("doc_id", F.posexplode("pairs").alias("place", "pair"))
-    # aggregated where they arise, so a passage that stands everywhere shuffles one row per task
-    first = placed.groupBy("pair").agg(F.min(F.struct("doc_id", "place")).alias("owner"), F.max(F.struct("doc_id", "place")).alias("last")).where("owner < last")
-    repeats = placed.join(first.select("pair", F.col("owner.doc_id").alias("owner_doc"), F.col("owner.place").alias("owner_place")), "pair")
-    repeats = repeats.where("doc_id <> owner_doc or place <> owner_place").groupBy("doc_id").agg(F.collect_set("place").alias("repeated"))
-    joined = docs.join(repeats, "doc_id", "left")
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            rows = []
-            for doc_id, text, repeated in zip(frame["doc_id"], frame["text"], frame["repeated"], strict=True):
-                if isinstance(text, str) and repeated is not None and len(repeated):
-                    rows.append((doc_id, *_without(text, set(map(int, repeated)), min_words)))
-                else:
-                    rows.append((doc_id, text if isinstance(text, str) else None, [], [], 0))
-            yield pd.DataFrame(rows, columns=["doc_id", "text", "span_starts", "span_ends", "removed_words"]).astype({"doc_id": "Int64"})
-
-    schema = "doc_id long, text string, span_starts array<long>, span_ends array<long>, removed_words long"
-    return joined.select("doc_id", "text", "repeated").mapInPandas(run, schema)
+    found = with_passages_removed(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), min_words)
+    return found.select("doc_id", "deduped.*")

@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyworks.llm import html_blocks, near_dups, packing, passages, repetition
+from tallyworks.llm import ann_codes, html_blocks, near_dups, packing, passages, pieces, quality_lines, repetition, toxicity, url_trees
 
-#: The vocabulary file that is packed by; a file name of the ``public_tokenizers`` package.
+#: The vocabulary files to pack and to encode by; file names of the ``public_tokenizers`` package.
 TOKENIZER = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
+URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
 
 
 def _tokenizer(name: str) -> str:
@@ -21,6 +23,15 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_hashed_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann_codes.search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def op2_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return quality_lines.classify(docs, quality_lines.train(docs, _table(spark, sf_dir, "labels")))
+
+
 def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dups.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -30,11 +41,20 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.dedupe_passages(_table(spark, sf_dir, "documents"))
 
 
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_trees.judge(_table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op6_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = repetition.judge(_table(spark, sf_dir, "documents"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_covered_words", "base_failed", "kept")
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, _table(spark, sf_dir, "labels")))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), _tokenizer(TOKENIZER))
 
@@ -43,4 +63,23 @@ def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_blocks.extract(_table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op3_minhash_dedup, op4_substring_dedup, op6_repetition_rules, op8_packing, op9_main_text)}
+def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number and digest of the piece ids of every document, and whether decoding gives its text again."""
+    return pieces.encoded_digests(_table(spark, sf_dir, "documents"), _tokenizer(PIECES))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_hashed_neighbours,
+        op2_line_quality,
+        op3_minhash_dedup,
+        op4_substring_dedup,
+        op5_url_filter,
+        op6_repetition_rules,
+        op7_toxicity,
+        op8_packing,
+        op9_main_text,
+        op10_pieces,
+    )
+}
