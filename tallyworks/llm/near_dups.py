@@ -15,6 +15,11 @@ No group is ever gathered or multiplied out:
 - Documents with the same set are one class first; copies cost nothing later.
 - Within a key, members are first compared with the smallest member only, which is linear in the group. The components
   of the links found are labelled, and what is left to compare are members of *different* components under one key.
+- These few documents pass an exact filter before a pair is made. Their shingles are put in one order, rarest first. Of
+  two linked sets the first ``n - ceil(85 % of n) + 1`` share one, and where they first meet, what is left of either must
+  suffice for the overlap. A copy with many edits begins with shingles of its own, and where it meets its group too
+  little is left; so it is paired with hardly anybody, however large the group is. The order comes from counts in
+  a table of fixed size; which shingles share a slot changes how well the filter works, not what it keeps.
 - Classes, keys and components are met by joins and aggregates that adaptive execution can split.
 """
 
@@ -40,6 +45,9 @@ POSITIONS = CHUNKS * CHUNK
 #: Largest signature distance that the keys cover in full.
 MAX_DISTANCE = 2 * CHUNKS - 1
 
+#: Slots of the table of shingle counts that orders shingles; it is sent to every task.
+COUNT_SLOTS = 1 << 18
+
 _FACTORS = mix(np.arange(1001, 1001 + POSITIONS, dtype=np.uint64)) | np.uint64(1)
 _OFFSETS = mix(np.arange(2001, 2001 + POSITIONS, dtype=np.uint64))
 
@@ -123,11 +131,13 @@ def full_sets(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
     return docs.mapInPandas(run, "doc_id long, set_a long, shingles array<long>")
 
 
+#: For each key its chunk and a mask that leaves one of the four positions out.
+_KEY_PARTS = [(c, int(np.array(~(0xFFFF << (16 * lane)) & (2**64 - 1), np.uint64).view(np.int64))) for c in range(CHUNKS) for lane in range(CHUNK)]
+
+
 def _keys() -> Column:
     """The 32 keys of a signature: each chunk with one of its positions left out."""
-    lanes = [0xFFFF << (16 * lane) for lane in range(CHUNK)]
-    masks = [int(np.array(~lane & (2**64 - 1), np.uint64).view(np.int64)) for lane in lanes]
-    return F.array(*[F.xxhash64(F.lit(c * CHUNK + lane), F.col(f"s{c}").bitwiseAND(F.lit(mask))) for c in range(CHUNKS) for lane, mask in enumerate(masks)])
+    return F.array(*[F.xxhash64(F.lit(k), F.col(f"s{c}").bitwiseAND(F.lit(mask))) for k, (c, mask) in enumerate(_KEY_PARTS)])
 
 
 def _distance(left: str, right: str) -> Column:
@@ -155,21 +165,63 @@ def _plausible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return met.where(_sizes_fit("of_a.n_shingles", "of_b.n_shingles", percent) & (_distance("of_a", "of_b") <= MAX_DISTANCE)).select("a", "b")
 
 
-def _linked(pairs: DataFrame, docs: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough. Sets are made again, for the documents of the pairs only."""
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
-    wanted = classes.join(ends, "rep", "left_semi").select(F.col("rep").alias("doc_id"), "set_a")
-    # few documents have a candidate: their ids go to the texts while they fit, and the texts move only beyond that
-    wanted = cut_lineage(wanted)
+def _sets_of(reps: DataFrame, docs: DataFrame, classes: DataFrame, words: int) -> DataFrame:
+    """doc_id and shingles of some classes, made again from the texts of these alone.
+
+    Few documents have a candidate: their ids go to the texts while they fit, and the texts move only beyond that.
+    """
+    wanted = cut_lineage(classes.join(reps.select("rep").distinct(), "rep", "left_semi").select(F.col("rep").alias("doc_id"), "set_a"))
     texts = docs.join(broadcast_if_small(wanted.select("doc_id")), "doc_id", "left_semi")
     sets = full_sets(texts, words).join(broadcast_if_small(wanted), ["doc_id", "set_a"], "left_semi")
-    sets = cut_lineage(sets.dropDuplicates(["doc_id"]))
+    return cut_lineage(sets.dropDuplicates(["doc_id"]).select("doc_id", "shingles"))
+
+
+def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full sets are similar enough."""
     left, right = (sets.select(F.col("doc_id").alias(end), F.col("shingles").alias(f"of_{end}")) for end in "ab")
     shared = F.size(F.array_intersect("of_a", "of_b"))
     both = F.size("of_a") + F.size("of_b") - shared
     return cut_lineage(pairs.join(right, "b").join(left, "a").where(100 * shared >= percent * both).select("a", "b"))
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("rep"))
+
+
+def _rare_shingles(sets: DataFrame, percent: int) -> DataFrame:
+    """rep, place and shingle of the rarest shingles of each set, of which two linked sets share one."""
+    slot = F.col("shingle").bitwiseAND(F.lit(COUNT_SLOTS - 1)).cast("int").alias("slot")
+    counted = sets.select(F.explode("shingles").alias("shingle")).groupBy(slot).count().toPandas()
+    counts = np.zeros(COUNT_SLOTS, np.int64)
+    counts[counted["slot"].to_numpy(np.int64)] = counted["count"]
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            first = []
+            for shingles in frame["shingles"]:
+                n = len(shingles)
+                order = np.lexsort((shingles, counts[shingles & (COUNT_SLOTS - 1)]))
+                first.append(shingles[order[: n - (-(-percent * n // 100)) + 1]])
+            yield pd.DataFrame({"rep": frame["doc_id"], "shingles": first})
+
+    return sets.mapInPandas(run, "rep long, shingles array<long>").select("rep", F.posexplode("shingles").alias("place", "shingle"))
+
+
+def _nearly_linked(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of classes (rep, component, n_shingles) in different components that may be linked, by the filter above.
+
+    ``left`` is what a set has from a shingle on: no more than that can be shared if the two first meet there.
+    """
+    rows = cut_lineage(_rare_shingles(sets, percent).join(placed, "rep").withColumn("left", F.col("n_shingles") - F.col("place")))
+    enough = lambda left, n, m: (100 + percent) * left >= percent * (n + m)
+    met = rows.groupBy("shingle").agg(F.min("n_shingles").alias("least"), F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
+    rows = rows.join(met.select("shingle", "least"), "shingle").where(enough(F.col("left"), F.col("n_shingles"), F.col("least")))
+    a, b = (rows.select("shingle", *[F.col(c).alias(f"{c}_{end}") for c in ("component", "rep", "n_shingles", "left")]) for end in "ab")
+    near = (F.col("component_a") < F.col("component_b")) & _sizes_fit("n_shingles_a", "n_shingles_b", percent)
+    near &= enough(F.least("left_a", "left_b"), F.col("n_shingles_a"), F.col("n_shingles_b"))
+    return a.join(b, "shingle").where(near).select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable by links) and kept (doc_id = component_id), per document.
 
@@ -194,21 +246,18 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int =
     members = cut_lineage(keyed.join(several, "key").where("rep <> first"))
 
     stars = members.select(F.col("first").alias("a"), F.col("rep").alias("b")).distinct()
-    links = _linked(cut_lineage(_plausible(stars, classes, percent)), docs, classes, words, percent)
+    stars = cut_lineage(_plausible(stars, classes, percent))
+    links = _linked(stars, _sets_of(_ends(stars), docs, classes, words), percent)
 
     # left to compare: members of a key that the links found so far do not connect
     found = components(links)
     placed = members.join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     several = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("key")
-    placed = cut_lineage(placed.join(several, "key", "left_semi").select("key", "component", "rep", "n_shingles"))
-    parts = placed.select("key", "component").distinct()
-    across = parts.withColumnRenamed("component", "of_a").join(parts.withColumnRenamed("component", "of_b"), "key").where("of_a < of_b")
-    left = placed.select("key", F.col("component").alias("of_a"), F.col("rep").alias("a"), F.col("n_shingles").alias("size_a"))
-    right = placed.select("key", F.col("component").alias("of_b"), F.col("rep").alias("b"), F.col("n_shingles").alias("size_b"))
-    rest = across.join(left, ["key", "of_a"]).join(right, ["key", "of_b"]).where(_sizes_fit("size_a", "size_b", percent)).select("a", "b").distinct()
-    rest = cut_lineage(_plausible(rest, classes, percent))
-    if not rest.isEmpty():
-        found = components(links.unionByName(_linked(rest, docs, classes, words, percent)))
+    placed = cut_lineage(placed.join(several, "key", "left_semi").select("rep", "component", "n_shingles").distinct())
+    if not placed.isEmpty():
+        sets = _sets_of(placed, docs, classes, words)
+        rest = cut_lineage(_plausible(_nearly_linked(placed, sets, percent), classes, percent))
+        found = components(links.unionByName(_linked(rest, sets, percent)))
 
     class_of = classes.select("set_a", "set_b", "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left")
     class_of = class_of.select("set_a", "set_b", F.coalesce("component", "rep").alias("component_id"))
