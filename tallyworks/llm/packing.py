@@ -51,10 +51,10 @@ class Encoder:
     def __init__(self, path: str):
         import public_tokenizers
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.with_special = Tokenizer.from_file(path)
-        self.special = [t.content for t in self.with_special.get_added_tokens_decoder().values()]
+        self.path, self.with_special = path, None
+        with open(path, encoding="utf-8") as file:
+            self.special = [t["content"] for t in json.load(file)["added_tokens"]]
         ranks = {k: v for k, v in _merge_ranks(path).items() if k.decode("utf-8", "replace") not in self.special}
         self.ordinary = tiktoken.Encoding("merges", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
@@ -62,6 +62,9 @@ class Encoder:
         if not text:
             return np.empty(0, "<u4")
         if any(s in text for s in self.special):
+            from tokenizers import Tokenizer
+
+            self.with_special = self.with_special or Tokenizer.from_file(self.path)
             return np.array(self.with_special.encode(text, add_special_tokens=False).ids, "<u4")
         return np.array(self.ordinary(text), "<u4")
 

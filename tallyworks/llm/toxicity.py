@@ -52,7 +52,7 @@ _PLAIN = str.maketrans("0134578@$!", "oieastbasi", "*")
 _SHOUTED = re.compile(r"\b[A-Z]{2,}\b")
 _DRAWN_OUT = re.compile(r"([^\W\d_])\1\1")
 #: Words that a Python worker remembers the weight of.
-_REMEMBERED = 500_000
+_REMEMBERED = 100_000
 
 FEATURES = (
     "n_words hits hit_rate weight weight_rate top_weight distinct_hits insults second_person near_second capitals shouted exclaims punctuation "

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 
 #: Bytes of text that are worked on at once; a single longer text makes a batch of its own.
-BATCH_BYTES = 1 << 20
+BATCH_BYTES = 1 << 18
 
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
