@@ -19,7 +19,20 @@ def _tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+#: Rows of a batch on its way to Python and back. Spark's default of 10,000 is meant for numbers; of whole texts that many, with
+#: their copies on both sides, take a gigabyte.
+ROWS_PER_BATCH = 500
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Limit Arrow batches for the session, unless it asks for even smaller ones."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(setting)) <= ROWS_PER_BATCH:
+        spark.conf.set(setting, ROWS_PER_BATCH)
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
