@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyworks.llm import near_dups, packing, passages, quality_lines, toxicity
-from tallyworks.llm.queries import TOKENIZER
+from tallyworks.llm.queries import TOKENIZER, small_batches
 from tallyworks.session import broadcast_if_small, scratch_path
 
 
@@ -19,18 +19,21 @@ def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a toxicity score below the threshold."""
+    small_batches(spark)
     model = toxicity.train(docs, _labels(spark, sf_dir))
     return toxicity.with_score(docs, model, name="toxicity_score").where(F.col("toxicity_score") < toxicity.THRESHOLD).select(docs.columns)
 
 
 def drop_bad(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a quality score from the threshold on."""
+    small_batches(spark)
     model = quality_lines.train(docs, _labels(spark, sf_dir))
     return quality_lines.with_score(docs, model, name="quality_score").where(F.col("quality_score") >= quality_lines.THRESHOLD).select(docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, the one with the smallest id. Rows with one id stay or go together."""
+    small_batches(spark)
     marked = near_dups.near_duplicates(docs)
     gone = marked.where(~F.col("kept")).select("doc_id")
     return docs.join(broadcast_if_small(gone), "doc_id", "left_anti").select(docs.columns)
@@ -38,6 +41,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without passages that an earlier document holds; a document of nothing else goes."""
+    small_batches(spark)
     cut = passages.with_passages_removed(docs, name="deduped")
     left = cut.where((F.col("deduped.removed_words") == 0) | F.col("deduped.text").rlike(r"[^\x20\x09-\x0D]"))
     changed = {"text": F.col("deduped.text"), "n_chars": F.when(F.col("deduped.removed_words") > 0, F.length("deduped.text")).otherwise(F.col("n_chars")).cast("long")}
@@ -46,6 +50,7 @@ def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of the documents and their places in sequences of 2048 ids."""
+    small_batches(spark)
     import public_tokenizers
 
     return packing.pack(docs, public_tokenizers.path(TOKENIZER))
