@@ -31,12 +31,14 @@ MIN_WORDS = 20
 _GEAR = mix(np.arange(5001, 5257, dtype=np.uint64)).astype(np.uint32)
 
 
-def gear_hashes(data: np.ndarray) -> np.ndarray:
-    """The rolling hash h = (h << 2) + gear[byte] after every byte, modulo 2**32, by doubling its reach."""
+def gear_hashes(data: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """The rolling hash h = (h << 2) + gear[byte] after every byte, modulo 2**32, by doubling its reach; it begins anew at each start."""
     rolled = _GEAR[data]
+    place = np.arange(len(data)) - np.repeat(start, np.diff(np.append(start, len(data))))
     for reach in (1, 2, 4, 8):
         shifted = np.zeros_like(rolled)
         shifted[reach:] = rolled[:-reach] << np.uint32(2 * reach)
+        shifted[place < reach] = 0
         rolled = rolled + shifted
     return rolled
 
@@ -44,7 +46,7 @@ def gear_hashes(data: np.ndarray) -> np.ndarray:
 def _chunk_words(batch: Batch, begin: np.ndarray, owner: np.ndarray) -> np.ndarray:
     """Word numbers at which a chunk begins: the first word of every text, and the peaks of the hash."""
     # the hash at the byte before a word has seen the words before it; the word itself decides as well
-    rolled = gear_hashes(batch.data)[np.minimum(begin + 2, len(batch.data) - 1)].astype(np.int64)
+    rolled = gear_hashes(batch.data, batch.start)[np.minimum(begin + 2, len(batch.data) - 1)].astype(np.int64)
     peak = np.ones(len(begin), bool)
     for step in range(1, REACH + 1):
         if step >= len(begin):
