@@ -4,9 +4,10 @@ import pytest
 
 import __spark_entry__ as contract
 from oracle_check import connect, differences
+from tallyworks.plans import catalog, oracles
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+QUERIES, ORACLES = catalog.QUERIES, oracles.ORACLES
 # sampling and the filters with false positives have no SQL
 ROWS_ONLY = {"sample_percent", "bloom_key_filter", "bloom_token_filter_raw"}
 
