@@ -49,8 +49,8 @@ SECOND_PERSON = frozenset("you your yours yourself u ur du dich dir dein deine e
 _WORD = re.compile(r"[^\W_]+")
 _OBFUSCATED = re.compile(r"[^\W\d_]+(?:[0-9@$*!]+[^\W\d_]+)+")
 _PLAIN = str.maketrans("0134578@$!", "oieastbasi", "*")
-_SHOUTED = re.compile(r"\b[A-Z]{2,}\b")
-_DRAWN_OUT = re.compile(r"([^\W\d_])\1\1")
+#: What ``known`` holds for a word of the second person.
+_PERSON = -1.0
 #: Words that a Python worker remembers the weight of.
 _REMEMBERED = 100_000
 
@@ -66,7 +66,12 @@ class Lexicon:
 
     weights: dict[str, float]
 
+    def __post_init__(self) -> None:
+        self.heads = {entry.rstrip("*")[: STEMS[0]] for entry in [*self.weights, *INSULTS]}
+
     def weigh(self, word: str) -> float:
+        if word[: STEMS[0]] not in self.heads:
+            return 0.0
         found = max((self.weights.get(word[:n] + "*", 0.0) for n in STEMS if len(word) >= n), default=0.0)
         return max(found, self.weights.get(word, 0.0), 3.0 if word in INSULTS else 0.0)
 
@@ -93,7 +98,9 @@ def _flags(low: int, high: int, but: str = "") -> np.ndarray:
     return table
 
 
-_UPPER, _ASCII_LETTER = _flags(65, 91), _flags(65, 91) | _flags(97, 123)
+_UPPER = _flags(65, 91)
+_LETTER = _UPPER | _flags(97, 123) | _flags(128, 256)
+_MASKING = np.isin(np.arange(256), [ord(c) for c in "0123456789@$*!"])
 _EXCLAIM = _flags(33, 34)
 _MARKS = _flags(33, 48) | _flags(58, 65) | _flags(91, 97) | _flags(123, 127)
 
@@ -101,8 +108,14 @@ _MARKS = _flags(33, 48) | _flags(58, 65) | _flags(91, 97) | _flags(123, 127)
 def text_features(texts: list[str | None], lexicon: Lexicon, known: dict[str, float]) -> np.ndarray:
     """One row of ``FEATURES`` for each text; zeros for a text without words. ``known`` remembers weights between calls."""
     batch = Batch.of(texts)
-    size = np.maximum(batch.end - batch.start, 1)
-    rates = {n: batch.count(t[batch.data], batch.start, batch.end) for n, t in (("up", _UPPER), ("letter", _ASCII_LETTER), ("shout", _EXCLAIM), ("mark", _MARKS))}
+    data, size = batch.data, np.maximum(batch.end - batch.start, 1)
+    letter, upper, masking = _LETTER[data], _UPPER[data], _MASKING[data]
+    drawn, shouted, masked = np.zeros_like(letter), np.zeros_like(letter), np.zeros_like(letter)
+    drawn[2:] = letter[2:] & (data[2:] == data[1:-1]) & (data[1:-1] == data[:-2])
+    shouted[1:] = upper[1:] & upper[:-1]
+    masked[1:] = masking[1:] & letter[:-1]
+    flags = {"letter": letter, "up": upper, "shout": shouted, "drawn": drawn, "masked": masked, "exclaim": _EXCLAIM[data], "mark": _MARKS[data]}
+    rates = {n: batch.count(t, batch.start, batch.end) for n, t in flags.items()}
     rows = np.zeros((len(texts), len(FEATURES)))
     for i, text in enumerate(texts):
         words = _WORD.findall(text.lower()) if text else []
@@ -111,27 +124,26 @@ def text_features(texts: list[str | None], lexicon: Lexicon, known: dict[str, fl
         n = len(words)
         if len(known) > _REMEMBERED:
             known.clear()
-        for w in set(words):
-            if w not in known:
-                known[w] = lexicon.weigh(w)
+        for w in set(words).difference(known):
+            known[w] = lexicon.weigh(w) or (_PERSON if w in SECOND_PERSON else 0.0)
         weights = np.fromiter(map(known.__getitem__, words), float, n)
-        hits = np.flatnonzero(weights)
-        insults = second = near = 0
+        persons, hits = np.flatnonzero(weights == _PERSON), np.flatnonzero(weights > 0)
+        total, top, insults, distinct, near = 0.0, 0.0, 0, 0, 0.0
         if len(hits):
-            insults = sum(words[h] in INSULTS for h in hits.tolist())
-        persons = np.array([k for k, w in enumerate(words) if w in SECOND_PERSON], np.int64)
-        second = len(persons)
-        if len(hits) and second:
-            at = np.searchsorted(persons, hits)
-            gap = np.minimum(np.abs(persons[np.minimum(at, second - 1)] - hits), np.abs(persons[np.maximum(at - 1, 0)] - hits))
-            near = float((1 / (1 + gap)).max())
-        masked = _OBFUSCATED.findall(text)
-        total = float(weights.sum())
+            hit_words = [words[h] for h in hits.tolist()]
+            total, top = float(weights[hits].sum()), float(weights[hits].max())
+            insults, distinct = sum(w in INSULTS for w in hit_words), len(set(hit_words))
+            if len(persons):
+                at = np.searchsorted(persons, hits)
+                gap = np.minimum(np.abs(persons[np.minimum(at, len(persons) - 1)] - hits), np.abs(persons[np.maximum(at - 1, 0)] - hits))
+                near = float((1 / (1 + gap)).max())
+        obfuscated = _OBFUSCATED.findall(text) if rates["masked"][i] else []
+        letters = max(rates["letter"][i], 1)
         rows[i] = (
-            math.log1p(n), math.log1p(len(hits)), 100 * len(hits) / n, math.log1p(total), 100 * total / n, weights.max(), math.log1p(len({words[h] for h in hits.tolist()})),
-            math.log1p(insults), 100 * second / n, near, rates["up"][i] / max(rates["letter"][i], 1), 100 * len(_SHOUTED.findall(text)) / n,
-            100 * rates["shout"][i] / size[i], 100 * rates["mark"][i] / size[i], 100 * len(masked) / n,
-            sum(lexicon.weigh(m.lower().translate(_PLAIN)) > 0 for m in masked), 100 * len(_DRAWN_OUT.findall(text)) / n,
+            math.log1p(n), math.log1p(len(hits)), 100 * len(hits) / n, math.log1p(total), 100 * total / n, top, math.log1p(distinct),
+            math.log1p(insults), 100 * len(persons) / n, near, rates["up"][i] / letters, rates["shout"][i] / letters,
+            100 * rates["exclaim"][i] / size[i], 100 * rates["mark"][i] / size[i], 100 * len(obfuscated) / n,
+            sum(lexicon.weigh(m.lower().translate(_PLAIN)) > 0 for m in obfuscated), 100 * rates["drawn"][i] / size[i],
         )
     return rows
 

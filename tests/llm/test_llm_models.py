@@ -82,10 +82,10 @@ def test_toxicity_on_held_out_documents(tables, odd):
 def test_toxic_features():
     lexicon = toxicity.Lexicon({"blorg*": 2.0, "fleem": 3.0})
     names = toxicity.FEATURES
-    rows = toxicity.text_features(["you are a fleem", "BLORGER!! FLEEM!!", None, "a f1eem, sooo", "all is well"], lexicon, {})
+    rows = toxicity.text_features(["you are a fleem", "BLORGER!! FLEEM!!", None, "a fl33m, sooo", "all is well"], lexicon, {})
     at = {n: rows[:, i] for i, n in enumerate(names)}
     assert at["hit_rate"].tolist() == [25, 100, 0, 0, 0] and at["near_second"].tolist() == [0.25, 0, 0, 0, 0]
-    assert at["shouted"].tolist() == [0, 100, 0, 0, 0] and at["exclaims"][1] > 0 and at["capitals"][1] == 1
+    assert at["shouted"].tolist() == [0, 10 / 12, 0, 0, 0] and at["exclaims"][1] > 0 and at["capitals"][1] == 1
     assert at["obfuscated_hits"].tolist() == [0, 0, 0, 1, 0] and at["drawn_out"][3] > 0 and not rows[2].any()
 
 
