@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 
 # Fixed value: text form of a timestamp.
 TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSS"
+TIMESTAMP_PATTERN = r"\A\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d\.\d{3}\z"
 
 
 def parse_moment(column) -> Column:
     """Timestamp without zone, or null when the text cannot be read."""
     text = F.col(column) if isinstance(column, str) else column
-    return F.try_to_timestamp(text, F.lit(TIMESTAMP_FORMAT)).cast("timestamp_ntz")
+    # a cast that never passes through the zone of the session; it alone would take other forms as well
+    return F.when(text.rlike(TIMESTAMP_PATTERN), text.try_cast("timestamp_ntz"))
 
 
 def format_moment(column) -> Column:

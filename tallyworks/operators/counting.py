@@ -37,8 +37,12 @@ def word_count_without(df: DataFrame, text, stop_df: DataFrame, stop_text) -> Da
 
     The anti join runs on the counts, which are already partitioned by word.
     """
-    stop = stopword_tokens(stop_df, stop_text)
-    return word_count(df, text).join(stop, "word", "left_anti")
+    return without_words(word_count(df, text), stop_df, stop_text)
+
+
+def without_words(counts: DataFrame, stop_df: DataFrame, stop_text) -> DataFrame:
+    """Counts of words less every word that occurs in the stopword texts."""
+    return counts.join(stopword_tokens(stop_df, stop_text), "word", "left_anti")
 
 
 def distinct_values(df: DataFrame, column, *, sort: bool = False) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,3 +31,8 @@ def not_category(df: DataFrame, column: str, category) -> DataFrame:
 def sample_percent(df: DataFrame, percent: float, seed: int = 0) -> DataFrame:
     """Every row is kept with the given probability, on its own."""
     return df.sample(withReplacement=False, fraction=percent / 100.0, seed=seed)
+
+
+def without_nulls(df: DataFrame, *columns: str) -> DataFrame:
+    """Rows with a value in each of the columns, or in all of them if none is named. NaN is a value."""
+    return df.filter(reduce(Column.__and__, [F.col(f"`{c}`").isNotNull() for c in columns or df.columns]))

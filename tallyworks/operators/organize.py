@@ -12,6 +12,7 @@ from tallyworks.functions.moments import day_text
 from tallyworks.functions.text import tag_list
 from tallyworks.operators.counting import distinct_values
 from tallyworks.operators.filters import contains_text
+from tallyworks.session import cut_lineage
 
 
 def shuffle_rows(df: DataFrame, partitions: int | None = None, seed: int = 0) -> DataFrame:
@@ -27,16 +28,24 @@ def shuffle_rows(df: DataFrame, partitions: int | None = None, seed: int = 0) ->
 
 def anonymize(df: DataFrame, ids: Sequence[str], moment: str, partitions: int | None = None, seed: int = 0) -> DataFrame:
     """Rows without their ids, with the day instead of the moment, in another order."""
+    return shuffle_rows(without_ids(df, ids, moment), partitions, seed)
+
+
+def without_ids(df: DataFrame, ids: Sequence[str], moment: str) -> DataFrame:
+    """Rows without their ids, with the day instead of the moment."""
     is_text = isinstance(df.schema[moment].dataType, StringType)
-    day = day_text(moment) if is_text else F.to_date(moment)
-    return shuffle_rows(df.drop(*ids).withColumn(moment, day), partitions, seed)
+    return df.drop(*ids).withColumn(moment, day_text(moment) if is_text else F.to_date(moment))
 
 
 def anonymize_and_distinct(
     df: DataFrame, ids: Sequence[str], moment: str, key: str, partitions: int | None = None, seed: int = 0
 ) -> tuple[DataFrame, DataFrame]:
-    """Two results of one input: the anonymized rows and the different values of a key."""
-    return anonymize(df, ids, moment, partitions, seed), distinct_values(df, key)
+    """Two results of one scan: the anonymized rows and the different values of a key.
+
+    The rows are written once where they are dealt out anew, and both results are read from there.
+    """
+    dealt = cut_lineage(shuffle_rows(df, partitions, seed))
+    return without_ids(dealt, ids, moment), distinct_values(dealt, key)
 
 
 def tag_bins(tags: Column | str, body: Column | str, tag_names: Mapping[str, str], body_part: str, body_bin: str) -> Column:

@@ -8,11 +8,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyworks.operators.counting import value_frequency, word_count
+from tallyworks.operators.filters import without_nulls
 
 
 def top_k(df: DataFrame, value: str, ties: Sequence[str], k: int = 10) -> DataFrame:
     """The k rows with the largest value; equal values are ordered by the ``ties`` columns."""
-    rows = df.dropna(subset=[value, *ties])
+    rows = without_nulls(df, value, *ties)
     return rows.orderBy(F.desc(value), *[F.asc(t) for t in ties]).limit(k)
 
 
@@ -22,7 +23,7 @@ def top_k_distinct(df: DataFrame, value: str, ties: Sequence[str], k: int = 10)
     The k values are found first from the value column alone, so whole rows are only compared
     for these, and never more than k groups are formed.
     """
-    rows = df.dropna(subset=[value, *ties])
+    rows = without_nulls(df, value, *ties)
     best = rows.select(value).distinct().orderBy(F.desc(value)).limit(k)
     kept = rows.join(F.broadcast(best), value, "left_semi")  # k rows at most
     whole = F.struct(*[F.col(c) for c in df.columns])

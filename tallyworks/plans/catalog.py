@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyworks.functions.moments import format_moment, parse_moment
 from tallyworks.functions.text import unescape_html
 from tallyworks.operators import (
     bloom,
@@ -26,7 +27,7 @@ from tallyworks.operators import (
     summaries,
     topk,
 )
-from tallyworks.session import scratch_path, spread
+from tallyworks.session import cut_lineage, scratch_path, spread
 from tallyworks.sources import attribute_rows, corpus, delimited, sinks, synthetic
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -236,10 +237,14 @@ def named_outputs(spark, sf_dir):
 # -- joins ---------------------------------------------------------------------------------------
 
 
-def _users(spark, sf_dir):
-    """Customers in credit; the others have events without a user."""
-    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
-    return filters.at_least(customer, "c_acctbal", MIN_BALANCE)
+def _labels(spark, sf_dir):
+    """Labelled documents; some have a conversation of their number."""
+    return table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
+
+
+def _turns(spark, sf_dir):
+    """Turns of conversations, several to a number; some numbers have no label."""
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", "role")
 
 
 def _comments(spark, sf_dir):
@@ -248,7 +253,7 @@ def _comments(spark, sf_dir):
 
 def _join(how: str) -> Query:
     def query(spark, sf_dir):
-        return joins.keyed_join(_users(spark, sf_dir), _comments(spark, sf_dir), "c_custkey", "user_id", how)
+        return joins.keyed_join(_labels(spark, sf_dir), _turns(spark, sf_dir), "doc_id", "conv_id", how)
 
     query.__name__ = f"join_{how}"
     return query
@@ -256,9 +261,8 @@ def _join(how: str) -> Query:
 
 def _replicated(how: str) -> Query:
     def query(spark, sf_dir):
-        return joins.replicated_join(
-            _comments(spark, sf_dir), _users(spark, sf_dir), "user_id", "c_custkey", how, order=["c_name"]
-        )
+        labels = _labels(spark, sf_dir)
+        return joins.replicated_join(_turns(spark, sf_dir), labels, "conv_id", "doc_id", how, order=["quality", "toxic"])
 
     query.__name__ = f"broadcast_{how}"
     return query
@@ -292,7 +296,7 @@ def nested_xml(spark, sf_dir):
     turns = table(spark, sf_dir, "conversations")
     nested = nesting.nest_by_role(turns, F.col("turn") == 0, "conv_id", "conv_id", ["turn", "text"])
     element = attribute_rows.nested_element("post", ["conv_id", "text"], "children", "comments", ["turn", "text"])
-    return nested.select("conv_id", element.alias("xml"))
+    return nested.select("conv_id", "part", element.alias("xml"))
 
 
 def _bloom_join(both_sides: bool) -> Query:
@@ -342,19 +346,25 @@ def sample_percent(spark, sf_dir):
 def _member_words(spark, sf_dir):
     """Words of the benchmark items in their own case."""
     items = table(spark, sf_dir, "benchmark")
-    return items.select(F.explode(F.split("text", "[^a-zA-Z]+")).alias("member")).filter(F.length("member") > 6).distinct()
+    return items.select(F.explode(F.split("text", "[^a-zA-Z]+")).alias("member")).filter("member <> ''").distinct()
 
 
 def bloom_build_probe_exact(spark, sf_dir):
-    """Events of customers in credit: filter first, then exact check by semi join."""
-    users = _users(spark, sf_dir)
-    passed = bloom.bloom_filter_keys(_comments(spark, sf_dir), "user_id", users, "c_custkey", BLOOM_RATE)
-    return passed.join(users, F.col("user_id") == F.col("c_custkey"), "left_semi")
+    """Turns with a labelled number: filter first, then exact check by semi join."""
+    labels = _labels(spark, sf_dir)
+    passed = bloom.bloom_filter_keys(_turns(spark, sf_dir), "conv_id", labels, "doc_id", BLOOM_RATE)
+    return passed.join(labels, F.col("conv_id") == F.col("doc_id"), "left_semi")
 
 
 def bloom_key_filter(spark, sf_dir):
-    """The filter alone: every member and few others."""
-    return bloom.bloom_filter_keys(_comments(spark, sf_dir), "user_id", _users(spark, sf_dir), "c_custkey", BLOOM_RATE)
+    """The filter alone, held against the members: how many turns have one, that none is lost, that few others pass."""
+    turns, labels = _turns(spark, sf_dir), _labels(spark, sf_dir).select("doc_id").distinct()
+    marked = turns.join(labels, F.col("conv_id") == F.col("doc_id"), "left").withColumn("member", F.col("doc_id").isNotNull())
+    passed = bloom.bloom_filter_keys(marked, "conv_id", labels, "doc_id", BLOOM_RATE)
+    counts = passed.groupBy().agg(F.count_if("member").alias("n_members"), F.count_if(~F.col("member")).alias("others"))
+    whole = marked.groupBy().agg(F.count_if("member").alias("n"), F.count_if(~F.col("member")).alias("rest"))
+    few = (F.col("others") <= 5 * BLOOM_RATE * F.col("rest")).alias("few_others")
+    return counts.crossJoin(whole).select("n_members", (F.col("n_members") == F.col("n")).alias("none_lost"), few)  # one row each
 
 
 def bloom_token_filter(spark, sf_dir):
@@ -388,6 +398,37 @@ def anonymize(spark, sf_dir):
     return organize.anonymize(table(spark, sf_dir, "events"), ["event_id", "user_id"], "ts")
 
 
+def _events_as_text(spark, sf_dir):
+    """Events with their moment as text; that of an error cannot be read."""
+    moment = F.when(F.col("event_type") == "error", F.lit("unknown")).otherwise(format_moment("ts"))
+    return table(spark, sf_dir, "events").withColumn("ts", moment)
+
+
+def anonymize_text(spark, sf_dir):
+    """Anonymized rows whose moment is text; one that cannot be read stays whole."""
+    return organize.anonymize(_events_as_text(spark, sf_dir), ["event_id", "user_id"], "ts")
+
+
+def min_max_count_text(spark, sf_dir):
+    """First and last moment of each user from texts; rows whose moment cannot be read are left out."""
+    events = _events_as_text(spark, sf_dir).select("user_id", parse_moment("ts").alias("ts"))
+    return summaries.min_max_count(events, "user_id", "ts")
+
+
+def gzip_words(spark, sf_dir):
+    """Words written as a gzip list and read back."""
+    path = scratch_path(spark, "gzip")
+    _member_words(spark, sf_dir).write.option("compression", "gzip").text(path)
+    return spark.read.text(path).withColumnRenamed("value", "member")
+
+
+def position_frequency_bins(spark, sf_dir):
+    """Frequencies by position, written to one folder per position and read back."""
+    path = scratch_path(spark, "positions")
+    sinks.write_bins(position_frequency(spark, sf_dir), path, "position")
+    return spark.read.parquet(path)
+
+
 def anonymize_rows(spark, sf_dir):
     """Anonymized rows in text form."""
     rows = organize.anonymize(table(spark, sf_dir, "events"), ["event_id", "user_id", "value"], "ts")
@@ -458,7 +499,8 @@ def corpus_term_weights(spark, sf_dir):
 def _baskets(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
-    return joins.keyed_join(lines, parts, "l_partkey", "p_partkey").select("l_orderkey", "p_brand")
+    pairs = joins.keyed_join(lines, parts, "l_partkey", "p_partkey").select("l_orderkey", "p_brand").distinct()
+    return cut_lineage(pairs)  # written once: the number of baskets, the items and the baskets are all made from it
 
 
 def _min_support(baskets: DataFrame) -> int:
@@ -573,7 +615,7 @@ def synthetic_comments(spark, sf_dir):
     )
     tokens = rows.select(F.explode(words).alias("member"))
     foreign = tokens.join(_member_words(spark, sf_dir), "member", "left_anti")
-    return rows.agg(F.count("*").alias("n"), F.count_if(~ok).alias("n_outside")).withColumn(
+    return rows.agg(F.count("*").alias("n"), F.count_if(~F.coalesce(ok, F.lit(False))).alias("n_outside")).withColumn(
         "n_foreign_words", foreign.agg(F.count("*")).scalar()
     )
 
@@ -646,6 +688,10 @@ QUERIES: dict[str, Query] = {
         top10_distinct_values,
         anonymize,
         anonymize_rows,
+        anonymize_text,
+        min_max_count_text,
+        gzip_words,
+        position_frequency_bins,
         anonymize_and_distinct,
         shuffle_rows,
         bins_by_tag,

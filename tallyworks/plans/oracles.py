@@ -49,9 +49,9 @@ _PLACE = f"""
            CASE WHEN c_acctbal < 0 THEN 'NullOrEmpty'
                 WHEN n_name IN ({_quoted(PLACES)}) THEN n_name ELSE 'Unknown' END AS state
     FROM customer JOIN nation ON c_nationkey = n_nationkey"""
-_USERS = f"(SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_acctbal >= {MIN_BALANCE})"
-_COMMENTS = "(SELECT event_id, user_id, event_type, value FROM events)"
-_ON = f"{_USERS} u {{how}} JOIN {_COMMENTS} e ON u.c_custkey = e.user_id"
+_LABELS = "(SELECT doc_id, quality, toxic FROM labels)"
+_TURNS = "(SELECT conv_id, turn, role FROM conversations)"
+_ON = f"{_LABELS} l {{how}} JOIN {_TURNS} t ON l.doc_id = t.conv_id"
 _CODE = "CASE o_orderpriority " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in PRIORITIES.items()) + " END"
 _BLOOM_NEST = f"""
     SELECT c_custkey, c_acctbal, 0 AS part, count(*) AS n_children,
@@ -60,7 +60,7 @@ _BLOOM_NEST = f"""
     GROUP BY c_custkey, c_acctbal"""
 _MEMBERS = (
     "(SELECT DISTINCT member FROM (SELECT unnest(string_split_regex(text, '[^a-zA-Z]+')) AS member FROM benchmark) "
-    "WHERE length(member) > 6)"
+    "WHERE member <> '')"
 )
 _RAW_TOKENS = (
     "(SELECT doc_id, regexp_replace(replace(t, '''', ''), '[^a-zA-Z]', ' ', 'g') AS token FROM "
@@ -168,7 +168,7 @@ ORACLES: dict[str, str] = {
     "join_left": f"SELECT * FROM {_ON.format(how='LEFT')}",
     "join_right": f"SELECT * FROM {_ON.format(how='RIGHT')}",
     "join_full": f"SELECT * FROM {_ON.format(how='FULL')}",
-    "join_anti": f"SELECT * FROM {_ON.format(how='FULL')} WHERE c_custkey IS NULL OR user_id IS NULL",
+    "join_anti": f"SELECT * FROM {_ON.format(how='FULL')} WHERE doc_id IS NULL OR conv_id IS NULL",
     "broadcast_inner": f"SELECT * FROM {_ON.format(how='INNER')}",
     "broadcast_left": f"SELECT * FROM {_ON.format(how='RIGHT')}",
     "nest_children": """
@@ -183,7 +183,7 @@ ORACLES: dict[str, str] = {
     "nested_xml": f"""
         WITH c AS (SELECT conv_id, string_agg({_CHILD_XML}, '' ORDER BY turn) AS inside
                    FROM conversations WHERE turn <> 0 GROUP BY conv_id)
-        SELECT p.conv_id, '<post conv_id="' || p.conv_id || '" text="' || {_escaped('p.text')} || '"' ||
+        SELECT p.conv_id, 0 AS part, '<post conv_id="' || p.conv_id || '" text="' || {_escaped('p.text')} || '"' ||
                CASE WHEN inside IS NULL THEN '/>' ELSE '>' || inside || '</post>' END AS xml
         FROM conversations p LEFT JOIN c ON p.conv_id = c.conv_id WHERE p.turn = 0""",
     "bloom_join": _BLOOM_NEST,
@@ -192,7 +192,7 @@ ORACLES: dict[str, str] = {
     "contains": "SELECT doc_id, text FROM documents WHERE contains(lower(text), 'license')",
     "threshold": "SELECT * FROM customer WHERE c_acctbal >= 1500.0",
     "not_category": "SELECT * FROM events WHERE event_type IS DISTINCT FROM 'error'",
-    "bloom_build_probe_exact": f"SELECT * FROM {_COMMENTS} WHERE user_id IN (SELECT c_custkey FROM {_USERS})",
+    "bloom_build_probe_exact": f"SELECT * FROM {_TURNS} WHERE conv_id IN (SELECT doc_id FROM {_LABELS})",
     "bloom_token_filter": f"""
         SELECT doc_id, length(text) AS chars FROM documents
         WHERE doc_id IN (SELECT doc_id FROM {_RAW_TOKENS} WHERE token IN (SELECT member FROM {_MEMBERS}))""",
@@ -209,6 +209,16 @@ ORACLES: dict[str, str] = {
         SELECT 'anonymize' AS result, CAST(ts AS DATE) AS ts, event_type, value, props, NULL AS user_id FROM events
         UNION ALL
         SELECT DISTINCT 'distinct', NULL, NULL, NULL, NULL, user_id FROM events WHERE user_id IS NOT NULL""",
+    "anonymize_text": """
+        SELECT CASE WHEN event_type = 'error' THEN 'unknown' ELSE strftime(ts, '%Y-%m-%d') END AS ts, event_type, value, props
+        FROM events""",
+    "min_max_count_text": """
+        SELECT user_id, min(date_trunc('millisecond', ts)) AS "first", max(date_trunc('millisecond', ts)) AS "last", count(*) AS n
+        FROM events WHERE event_type IS DISTINCT FROM 'error' GROUP BY user_id""",
+    "gzip_words": f"SELECT member FROM {_MEMBERS}",
+    "bloom_key_filter": f"""
+        SELECT count(*) AS n_members, true AS none_lost, true AS few_others FROM {_TURNS}
+        WHERE conv_id IN (SELECT doc_id FROM {_LABELS})""",
     "shuffle_rows": "SELECT * FROM events",
     "bins_by_tag": f"SELECT bin, doc_id FROM {_BINNED}",
     "bin_counts": f"SELECT bin, count(*) AS n FROM {_BINNED} GROUP BY bin",
@@ -239,5 +249,6 @@ ORACLES: dict[str, str] = {
 
 # results written to files and read back equal those they were written from
 ORACLES["word_count_by_state_bins"] = ORACLES["word_count_by_state"]
+ORACLES["position_frequency_bins"] = ORACLES["position_frequency"]
 ORACLES["named_outputs"] = ORACLES["min_max_and_words"]
 ORACLES["itemset_level_bins"] = ORACLES["itemset_levels"]

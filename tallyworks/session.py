@@ -47,7 +47,7 @@ def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
     rows = df.count()
     if rows * 8 * len(df.columns) > max_bytes:
         return False
-    size = df.agg(F.sum(F.length(F.to_json(F.struct("*")))).alias("bytes")).first()
+    size = df.agg(F.sum(F.octet_length(F.to_json(F.struct("*")))).alias("bytes")).first()
     return (size["bytes"] or 0) <= max_bytes
 
 

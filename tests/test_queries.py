@@ -9,7 +9,7 @@ from tallyworks.plans import catalog, oracles
 SF_DIR = "/root/testdata/sf0.001"
 QUERIES, ORACLES = catalog.QUERIES, oracles.ORACLES
 # sampling and the filters with false positives have no SQL
-ROWS_ONLY = {"sample_percent", "bloom_key_filter", "bloom_token_filter_raw"}
+ROWS_ONLY = {"sample_percent", "bloom_token_filter_raw"}
 
 
 @pytest.fixture(scope="module")
@@ -41,7 +41,7 @@ def plan_of(spark, name):
     return QUERIES[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", ["grep", "contains", "threshold", "not_category", "bloom_key_filter"])
+@pytest.mark.parametrize("name", ["grep", "contains", "threshold", "not_category"])
 def test_filters_do_not_shuffle(spark, name):
     assert "Exchange" not in plan_of(spark, name)
 

@@ -135,3 +135,19 @@ def test_top_k(spark):
     assert [(r.v, r.id) for r in topk.top_k_distinct(df, "v", ["id"], 3).collect()] == [(9, 2), (7, 6), (5, 0)]
     assert topk.top_k(df, "v", ["id"], 100).count() == 7
     assert topk.top_k_distinct(df, "v", ["id"], 100).count() == 4
+
+
+def test_nan_is_a_value(spark):
+    df = spark.createDataFrame([("a", float("nan")), ("a", 2.0), ("a", None)], "k string, v double")
+    assert summaries.average_by(df, F.col("k"), F.col("v"), name="k").first()["n"] == 2
+
+
+def test_two_results_of_one_scan(spark, tmp_path):
+    rows = [(1, 5, "b a"), (1, 3, None), (None, 4, "a"), (2, None, "c's stop")]
+    spark.createDataFrame(rows, "k int, m int, t string").write.parquet(str(tmp_path / "rows"))
+    stop = spark.createDataFrame([("stop",)], "w string")
+    spans, words = summaries.min_max_and_words(spark.read.parquet(str(tmp_path / "rows")), "k", "m", "t", stop, "w")
+    assert [tuple(r) for r in spans.collect()] == [(1, 3, 5, 2)]
+    assert sorted(map(tuple, words.collect())) == [("a", 2), ("b", 1), ("cs", 1)]
+    for result in (spans, words):
+        assert "FileScan" not in result._jdf.queryExecution().executedPlan().toString()

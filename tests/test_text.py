@@ -113,3 +113,15 @@ def test_coded_and_moments(spark):
     assert one(spark, "2011-05-01", moments.day_text) == "2011-05-01"
     assert one(spark, "2011-05-01T23:10:00.125", lambda c: moments.format_moment(moments.parse_moment(c))) == "2011-05-01T23:10:00.125"
     assert one(spark, "2011-05-01T00:10:00.000", lambda c: F.hour(moments.parse_moment(c))) == 0
+
+
+def test_moments_do_not_pass_through_the_zone(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        # an hour that clocks there skipped
+        assert str(one(spark, "2014-03-09T02:30:00.000", moments.parse_moment)) == "2014-03-09 02:30:00"
+        assert one(spark, "2014-03-09", moments.parse_moment) is None
+        assert one(spark, "2014-13-09T02:30:00.000", moments.parse_moment) is None
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
