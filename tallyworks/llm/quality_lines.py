@@ -165,9 +165,16 @@ def _ascend(start: np.ndarray, gradient, rounds: int) -> np.ndarray:
     return x
 
 
+def _all_lines(texts: list[str]) -> Lines:
+    """The lines of many texts, measured batch by batch."""
+    parts = [(part, line_features(texts[part])) for part in batches(texts)]
+    joined = [np.concatenate(x) for x in zip(*[(p.features, p.owner + part.start, p.weight) for part, p in parts], strict=True)]
+    return Lines(*joined, len(texts))
+
+
 def fit(texts: list[str], labels: np.ndarray, rounds: int = ROUNDS) -> Model:
     """Maximum likelihood of the line labels given the texts, then of the document labels given their quality."""
-    lines = line_features(texts)
+    lines = _all_lines(texts)
     truth = labels[lines.owner].astype(float)
     same = lines.owner[1:] == lines.owner[:-1]
     seen = np.zeros((2, 2))
