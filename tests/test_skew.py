@@ -40,11 +40,21 @@ def final_plan(df):
 
 @pytest.mark.parametrize("how, extra", [("inner", 0), ("left", 202), ("right", 0), ("full", 202)])
 def test_hot_key_is_split_in_every_join(skewed, parents, how, extra):
-    rows, plan = final_plan(joins.keyed_join(parents, skewed, "pid", "key", how))
+    rows, plan = final_plan(joins.keyed_join(parents, skewed, "pid", "key", how, hot_rows=5000))
     assert len(rows) == ROWS + extra
     assert "skew=true" in plan
 
 
+@pytest.mark.parametrize("how", ["left", "right", "full", "anti"])
+def test_outer_joins_are_the_same_with_and_without_hot_keys(skewed, parents, how):
+    left = parents.unionByName(parents.where("pid = 1100")).unionByName(parents.where("pid = 5"))
+    results = [joins.keyed_join(left, skewed.where("key <> 7"), "pid", "key", how, hot_rows=n) for n in (2, 5000, 10**9)]
+    first, *others = [sorted(map(str, r.collect())) for r in results]
+    assert all(first == other for other in others) and first
+    plan = results[2]._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1 and "Aggregate" not in plan
+
+
 def test_hot_key_is_split_when_the_small_side_is_too_large(skewed, parents, monkeypatch):
     monkeypatch.setattr(joins, "broadcast_if_small", lambda df: df)
     rows, plan = final_plan(joins.replicated_join(skewed, parents, "key", "pid", "left"))
