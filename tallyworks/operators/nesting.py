@@ -6,52 +6,59 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
+from tallyworks.operators.filters import without_nulls
 from tallyworks.operators.joins import one_per_key
 from tallyworks.session import broadcast_if_small, cut_lineage
 
-#: Number of items one record is meant to hold.
+#: Items that a record holds at most.
 PART_ITEMS = 100_000
 
 
-def gather(df: DataFrame, keys: Sequence[str], item: Column, *, out: str, part_items: int = PART_ITEMS) -> DataFrame:
+def gather(
+    df: DataFrame, keys: Sequence[str], item: Column, *, out: str, part_items: int = PART_ITEMS, carried: Column | None = None
+) -> DataFrame:
     """Sorted array ``out`` of the items of every key, with a ``part`` number.
 
-    A key with up to ``part_items`` items has the single part 0. A larger one is continued in
-    further parts, each put together by its own task, and no item is left out. Large keys are
-    found by a count of the key column alone; without any, the work is one plain grouping.
+    Items are numbered in order within their key, and item n lies in part ``n div part_items``: parts are
+    full but the last, without holes, and joined they give the sorted items. A key with up to ``part_items`` items has the
+    single part 0. ``carried`` is a column that is the same in all rows of a key and stands in every part.
 
-    The items of a large key are dealt to its parts by their hash, which gives the same parts when
-    a lost task is run again. Equal items are counted first and dealt in lots, since their hash is
-    the same.
+    Keys with more are found by a count of the key column alone; without any, the work is one plain grouping. The items of
+    those keys are dealt by range, numbered within their range and moved up by the counts of the ranges before, so no
+    task ever holds all items of a key.
     """
-    rows = df.select(*keys, item.alias("_item")).dropna(subset=list(keys))
-    counts = df.dropna(subset=list(keys)).groupBy(*keys).agg(F.count("*").alias("_n"))
+    rows = without_nulls(df.select(*keys, item.alias("_item"), (F.lit(None) if carried is None else carried).alias("_carried")), *keys)
+    counts = without_nulls(df.select(*keys)).groupBy(*keys).agg(F.count("*").alias("_n"))
     large = counts.filter(F.col("_n") > part_items)
+    columns = [*keys, "part", out] + ["_carried"] * (carried is not None)
 
     def collected(group: DataFrame) -> DataFrame:
-        return group.groupBy(*keys).agg(F.sort_array(F.collect_list("_item")).alias(out)).withColumn("part", F.lit(0))
+        items = F.sort_array(F.collect_list("_item")).alias(out)
+        return group.groupBy(*keys).agg(items, F.first("_carried").alias("_carried")).withColumn("part", F.lit(0))
 
     if large.isEmpty():
-        return collected(rows).select(*keys, "part", out)
+        return collected(rows).select(columns)
 
     large = cut_lineage(large)
     tagged = rows.join(broadcast_if_small(large), list(keys), "left")
     small_groups = collected(tagged.filter(F.col("_n").isNull()))
-    lots = (
-        tagged.filter(F.col("_n").isNotNull())
-        .groupBy(*keys, "_n", "_item")
-        .agg(F.count("*").alias("_copies"))
-        .withColumn("_lot", F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"(_copies - 1) div {part_items}"))))
-        .withColumn("_size", F.least(F.lit(part_items).cast("bigint"), F.col("_copies") - F.col("_lot") * part_items))
-        .withColumn("_parts", F.expr(f"(_n + {part_items} - 1) div {part_items}"))
-        .withColumn("_part", F.pmod(F.xxhash64("_item", "_lot"), F.col("_parts")))
-    )
-    runs = F.array_repeat(F.col("_item"), F.col("_size").cast("int"))
-    dealt = lots.groupBy(*keys, "_part").agg(F.sort_array(F.flatten(F.collect_list(runs))).alias(out))
-    # a hash may leave a part empty; parts are numbered as dealt
-    large_groups = dealt.withColumn("part", F.col("_part").cast("int"))
-    return small_groups.select(*keys, "part", out).unionByName(large_groups.select(*keys, "part", out))
+    copies = tagged.filter(F.col("_n").isNotNull()).groupBy(*keys, "_item").agg(F.count("*").alias("_copies"), F.first("_carried").alias("_carried"))
+    # written, for a range may be drawn otherwise when it is asked for again
+    ranged = cut_lineage(copies.repartitionByRange(*keys, "_item").withColumn("_range", F.spark_partition_id()))
+    in_range = Window.partitionBy(*keys, "_range").orderBy("_item")
+    before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = ranged.groupBy(*keys, "_range").agg(F.sum("_copies").alias("_sum"))
+    offsets = offsets.select(*keys, "_range", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_offset"))
+    placed = ranged.withColumn("_end", F.sum("_copies").over(in_range)).join(offsets, [*keys, "_range"])
+    placed = placed.withColumn("_end", F.col("_end") + F.col("_offset")).withColumn("_start", F.col("_end") - F.col("_copies"))
+    parts = F.sequence(F.expr(f"_start div {part_items}"), F.expr(f"(_end - 1) div {part_items}"))
+    lots = placed.withColumn("_part", F.explode(parts))
+    size = F.least("_end", (F.col("_part") + 1) * part_items) - F.greatest("_start", F.col("_part") * part_items)
+    runs = F.array_repeat(F.col("_item"), size.cast("int"))
+    dealt = lots.groupBy(*keys, "_part").agg(F.sort_array(F.flatten(F.collect_list(runs))).alias(out), F.first("_carried").alias("_carried"))
+    return small_groups.select(columns).unionByName(dealt.withColumn("part", F.col("_part").cast("int")).select(columns))
 
 
 def nest(
@@ -69,18 +76,22 @@ def nest(
     """Parents with the array of their children; children without a parent are dropped.
 
     Parents must be unique by key, unless ``order`` states which of several counts: the last. A
-    parent with very many children takes several records, told apart by ``part``.
+    parent with more than ``part_items`` children takes several records, numbered by ``part``. Children meet
+    their parent before they are gathered, in a join that can be split, so the records of one parent are never
+    brought together again.
     """
-    item = F.struct(*[F.col(c) for c in child_columns])
-    key = children.withColumn("_parent", F.col(child_key))
-    gathered = gather(key, ["_parent"], item, out=out, part_items=part_items)
-    rows = one_per_key(parents, parent_key, order) if order is not None else parents.dropna(subset=[parent_key])
-    how = "left" if keep_childless else "inner"
-    joined = rows.join(gathered, F.col(parent_key) == F.col("_parent"), how).drop("_parent")
+    rows = one_per_key(parents, parent_key, order) if order is not None else without_nulls(parents, parent_key)
+    whole = rows.select(F.col(parent_key).alias("_parent"), F.struct(*[F.col(c) for c in rows.columns]).alias("_row"))
+    items = children.select(F.col(child_key).alias("_parent"), F.struct(*[F.col(c) for c in child_columns]).alias("_child"))
+    met = without_nulls(items, "_parent").join(whole, "_parent")
+    gathered = gather(met, ["_parent"], F.col("_child"), out=out, part_items=part_items, carried=F.col("_row"))
+    nested = gathered.select("_carried.*", "part", out)
     if not keep_childless:
-        return joined
+        return nested
+    known = without_nulls(items.select(F.col("_parent"))).distinct()
+    childless = rows.join(known, F.col(parent_key) == F.col("_parent"), "left_anti")
     empty = F.array().cast(gathered.schema[out].dataType)
-    return joined.withColumn("part", F.coalesce("part", F.lit(0))).withColumn(out, F.coalesce(out, empty))
+    return nested.unionByName(childless.select(*rows.columns, F.lit(0).alias("part"), empty.alias(out)))
 
 
 def nest_by_role(

@@ -285,6 +285,14 @@ def nest_children(spark, sf_dir):
     return _ids(nested, ["o_orderkey", "o_orderstatus"], "children", "l_partkey")
 
 
+def nest_children_parts(spark, sf_dir):
+    """The same in records of three children at most."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey")
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber")
+    nested = nesting.nest(orders, lines, "o_orderkey", "l_orderkey", ["l_partkey", "l_linenumber"], part_items=3)
+    return _ids(nested, ["o_orderkey"], "children", "l_partkey")
+
+
 def nest_self(spark, sf_dir):
     turns = table(spark, sf_dir, "conversations")
     nested = nesting.nest_by_role(turns, F.col("turn") == 0, "conv_id", "conv_id", ["turn", "role", "text"])
@@ -671,6 +679,7 @@ QUERIES: dict[str, Query] = {
         _replicated("inner"),
         _replicated("left"),
         nest_children,
+        nest_children_parts,
         nest_self,
         nested_xml,
         _bloom_join(False),

@@ -175,6 +175,14 @@ ORACLES: dict[str, str] = {
         SELECT o_orderkey, o_orderstatus, 0 AS part, count(l_partkey) AS n_children,
                coalesce(string_agg(CAST(l_partkey AS VARCHAR), ' ' ORDER BY l_partkey, l_linenumber), '') AS child_ids
         FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey GROUP BY o_orderkey, o_orderstatus""",
+    "nest_children_parts": """
+        WITH placed AS (
+            SELECT o_orderkey, l_partkey, l_linenumber,
+                   (row_number() OVER (PARTITION BY o_orderkey ORDER BY l_partkey, l_linenumber) - 1) // 3 AS part
+            FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey)
+        SELECT o_orderkey, CAST(part AS INTEGER) AS part, count(l_partkey) AS n_children,
+               coalesce(string_agg(CAST(l_partkey AS VARCHAR), ' ' ORDER BY l_partkey, l_linenumber), '') AS child_ids
+        FROM placed GROUP BY o_orderkey, part""",
     "nest_self": """
         SELECT p.conv_id, p.role, p.text, 0 AS part, count(c.turn) AS n_children,
                coalesce(string_agg(CAST(c.turn AS VARCHAR), ' ' ORDER BY c.turn), '') AS child_ids

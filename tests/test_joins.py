@@ -123,9 +123,11 @@ def test_large_groups_are_continued_and_whole(spark, part_items):
     found = nesting.gather(children, ["k"], F.struct("c"), out="items", part_items=part_items).collect()
     whole = sorted((r["k"], item["c"]) for r in found for item in r["items"])
     assert whole == sorted(data)
-    assert len({(r["k"], r["part"]) for r in found}) == len(found)
-    if part_items == 10:
-        assert max(len(r["items"]) for r in found) < 100
+    for key in (1, 2):
+        parts = sorted((r["part"], [item["c"] for item in r["items"]]) for r in found if r["k"] == key)
+        assert [part for part, _ in parts] == list(range(len(parts)))
+        assert [c for _, items in parts for c in items] == sorted(c for k, c in data if k == key)
+        assert {len(items) for _, items in parts[:-1]} <= {part_items} and len(parts[-1][1]) <= part_items
 
 
 def test_bloom_has_no_false_negatives_and_few_positives(spark):

@@ -62,11 +62,25 @@ def test_hot_key_is_split_when_the_small_side_is_too_large(skewed, parents, monk
 
 
 def test_hot_parent_is_continued(skewed, parents):
+    spark = skewed.sparkSession
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # else these few bytes are put together
     nested = nesting.nest(parents, skewed, "pid", "key", ["item"], part_items=1000)
-    sizes = nested.select("pid", "part", F.size("children").alias("n")).collect()
-    hot = [r["n"] for r in sizes if r["pid"] == 0]
-    assert sum(hot) == ROWS // 3 and max(hot) < 2000 and len(hot) == 20
-    assert sum(r["n"] for r in sizes) == ROWS
+    located = nested.withColumn("task", F.spark_partition_id()).select("pid", "part", "task", F.expr("transform(children, c -> c.item)").alias("items"))
+    found = located.collect()
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    hot = sorted((r["part"], r["items"], r["task"]) for r in found if r["pid"] == 0)
+    assert [p for p, _, _ in hot] == list(range(20)) and {len(i) for _, i, _ in hot} == {1000}
+    assert [i for _, items, _ in hot for i in items] == list(range(0, ROWS, 3))
+    assert len({t for _, _, t in hot}) > 1
+    assert sum(len(r["items"]) for r in found) == ROWS and {r["pid"] for r in found} == set(range(1200))
+
+
+def test_equal_children_fill_several_parts(spark):
+    children = spark.createDataFrame([(1, "a")] * 7 + [(1, "b")] + [(2, "c")], "k int, v string")
+    parents = spark.createDataFrame([(1,), (2,), (3,)], "p int")
+    nested = nesting.nest(parents, children, "p", "k", ["v"], part_items=3)
+    parts = sorted((r.p, r.part, "".join(c.v for c in r.children)) for r in nested.collect())
+    assert parts == [(1, 0, "aaa"), (1, 1, "aaa"), (1, 2, "ab"), (2, 0, "c"), (3, 0, "")]
 
 
 def test_hot_key_gaps_and_median(skewed):
