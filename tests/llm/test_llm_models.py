@@ -65,13 +65,13 @@ def test_marginals_against_enumeration():
     assert np.allclose(good, expected) and np.allclose(pairs, counted)
 
 
-def test_toxicity_on_held_out_documents(tables, odd):
-    docs, labels = tables
+def test_toxicity_on_held_out_documents(spark, odd):
+    """At sf0.1: the lexicon of invented insults needs more toxic documents than the thirty of the smaller tables."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     model = toxicity.train(docs, labels)
-    scored = toxicity.score(docs, model)
-    assert scored.count() == docs.count()
-    accuracy, share = correct(scored, labels, "toxic")
-    assert accuracy >= 0.93 and share > 0.05
+    rows = toxicity.score(docs.join(labels, "doc_id", "left_semi"), model).where("held_out").join(labels, "doc_id").select("predicted", "toxic").collect()
+    toxic, clean = [p for p, t in rows if t], [p for p, t in rows if not t]
+    assert np.mean(toxic) >= 0.85 and np.mean(clean) <= 0.02
     rows = toxicity.score(odd, model).collect()
     assert len(rows) == 6 and all(0 <= r.score <= 1 for r in rows) and rows[0].score == rows[1].score
     assert toxicity.score(odd.limit(0), model).count() == 0
