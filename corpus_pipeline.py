@@ -13,6 +13,10 @@ from tallyworks.llm.queries import TOKENIZER, small_batches
 from tallyworks.session import broadcast_if_small, scratch_path
 
 
+#: A near copy shares this share of its shingles of so many words; twelve chunks of a signature cover it.
+NEAR_WORDS, NEAR_PERCENT, NEAR_CHUNKS = 5, 80, 12
+
+
 def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
@@ -34,7 +38,7 @@ def drop_bad(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, the one with the smallest id. Rows with one id stay or go together."""
     small_batches(spark)
-    marked = near_dups.near_duplicates(docs)
+    marked = near_dups.near_duplicates(docs, words=NEAR_WORDS, percent=NEAR_PERCENT, chunks=NEAR_CHUNKS)
     gone = marked.where(~F.col("kept")).select("doc_id")
     return docs.join(broadcast_if_small(gone), "doc_id", "left_anti").select(docs.columns)
 

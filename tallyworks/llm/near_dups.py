@@ -2,13 +2,14 @@
 
 A document is the set of its distinct word shingles, hashed to 64 bits. Its signature is 32 minima of the set under as
 many hash functions, each cut to 16 bits; the distance of two signatures is the number of positions that
-differ. A link needs a Jaccard similarity of at least 85 %, so a position differs with a chance of at most 15 %.
+differ. A link needs a Jaccard similarity of at least 85 %, so a position differs with a chance of at most 15 %. For
+links from a lower similarity on, signatures have more chunks; the text below has the figures of 8.
 
 By pigeonhole, signatures cut into 8 chunks of 4 positions that differ in at most ``8 * 2 - 1 = 15`` positions agree in some
 chunk up to one error. That error is enumerated: a chunk gives four keys, each with one position left out, and two chunks
 with at most one error share a key. So every pair within distance 15 shares one of 32 keys. Of linked pairs at the
-very threshold, 6 in a million lie beyond that distance, and fewer the more alike they are. Every candidate is confirmed on
-the full sets.
+very threshold, 6 in a million lie beyond that distance, and fewer the more alike they are. With 12 chunks, 48 keys cover
+distance 23, beyond which lie 3 in a million of the pairs at 80 %. Every candidate is confirmed on the full sets.
 
 No group is ever gathered or multiplied out:
 
@@ -25,6 +26,7 @@ No group is ever gathered or multiplied out:
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -44,12 +46,16 @@ CHUNKS, CHUNK = 8, 4
 POSITIONS = CHUNKS * CHUNK
 #: Largest signature distance that the keys cover in full.
 MAX_DISTANCE = 2 * CHUNKS - 1
+#: Most chunks of a signature.
+MOST_CHUNKS = 16
+#: Largest share of the pairs at the very threshold that may lie beyond the distance.
+LOST = 5e-6
 
 #: Slots of the table of shingle counts that orders shingles; it is sent to every task.
 COUNT_SLOTS = 1 << 18
 
-_FACTORS = mix(np.arange(1001, 1001 + POSITIONS, dtype=np.uint64)) | np.uint64(1)
-_OFFSETS = mix(np.arange(2001, 2001 + POSITIONS, dtype=np.uint64))
+_FACTORS = mix(np.arange(1001, 1001 + MOST_CHUNKS * CHUNK, dtype=np.uint64)) | np.uint64(1)
+_OFFSETS = mix(np.arange(2001, 2001 + MOST_CHUNKS * CHUNK, dtype=np.uint64))
 
 
 def shingle_sets(texts: list[str | None], words: int = SHINGLE_WORDS) -> list[np.ndarray]:
@@ -79,13 +85,20 @@ def shingle_sets(texts: list[str | None], words: int = SHINGLE_WORDS) -> list[np
     return sets
 
 
-def signature(shingles: np.ndarray) -> np.ndarray:
-    """32 minima cut to 16 bits, four to a 64-bit chunk."""
-    low = np.full(POSITIONS, 0xFFFFFFFF, np.uint64)
+def lost_share(percent: int, chunks: int) -> float:
+    """Share of the pairs with a similarity of ``percent`` whose signatures differ in more positions than the keys cover."""
+    positions, apart = chunks * CHUNK, 1 - percent / 100
+    return sum(math.comb(positions, k) * apart**k * (1 - apart) ** (positions - k) for k in range(2 * chunks, positions + 1))
+
+
+def signature(shingles: np.ndarray, chunks: int = CHUNKS) -> np.ndarray:
+    """Four minima a chunk, cut to 16 bits, four to a 64-bit chunk."""
+    positions = chunks * CHUNK
+    low = np.full(positions, 0xFFFFFFFF, np.uint64)
     for part in range(0, len(shingles), 4096):
-        hashed = (shingles[part : part + 4096, None] * _FACTORS + _OFFSETS) >> np.uint64(32)
+        hashed = (shingles[part : part + 4096, None] * _FACTORS[:positions] + _OFFSETS[:positions]) >> np.uint64(32)
         low = np.minimum(low, hashed.min(axis=0))
-    lanes = (low & np.uint64(0xFFFF)).reshape(CHUNKS, CHUNK)
+    lanes = (low & np.uint64(0xFFFF)).reshape(chunks, CHUNK)
     return (lanes << np.arange(0, 64, 16, dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
 
 
@@ -99,16 +112,20 @@ def _set_frame(frame: pd.DataFrame, words: int, rows: Callable[..., pd.DataFrame
         yield rows(frame["doc_id"].iloc[part].array, shingle_sets(texts[part], words))
 
 
-def signatures(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
-    """doc_id, n_shingles, a 128-bit digest of the set (set_a, set_b) and the chunks s0..s7; without shingles all of them null."""
-    chunk_names = [f"s{i}" for i in range(CHUNKS)]
+def _chunk_names(chunks: int) -> list[str]:
+    return [f"s{i}" for i in range(chunks)]
+
+
+def signatures(docs: DataFrame, words: int = SHINGLE_WORDS, chunks: int = CHUNKS) -> DataFrame:
+    """doc_id, n_shingles, a 128-bit digest of the set (set_a, set_b) and the chunks s0, s1, ...; without shingles all of them 0."""
+    chunk_names = _chunk_names(chunks)
 
     def rows(ids, sets) -> pd.DataFrame:
-        empty = np.zeros(CHUNKS, np.uint64)
-        chunks = np.array([signature(s) if len(s) else empty for s in sets], np.uint64).reshape(-1, CHUNKS)
+        empty = np.zeros(chunks, np.uint64)
+        lanes = np.array([signature(s, chunks) if len(s) else empty for s in sets], np.uint64).reshape(-1, chunks)
         digests = {"set_a": [_digest_a(s) for s in sets], "set_b": [np.sum(mix(s + np.uint64(77)), dtype=np.uint64) for s in sets]}
         columns = {k: signed(np.array(v, np.uint64)) for k, v in digests.items()}
-        return pd.DataFrame({"doc_id": ids, "n_shingles": [len(s) for s in sets], **columns, **dict(zip(chunk_names, signed(chunks.T), strict=True))})
+        return pd.DataFrame({"doc_id": ids, "n_shingles": [len(s) for s in sets], **columns, **dict(zip(chunk_names, signed(lanes.T), strict=True))})
 
     def run(frames):
         for frame in frames:
@@ -131,20 +148,21 @@ def full_sets(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
     return docs.mapInPandas(run, "doc_id long, set_a long, shingles array<long>")
 
 
-#: For each key its chunk and a mask that leaves one of the four positions out.
-_KEY_PARTS = [(c, int(np.array(~(0xFFFF << (16 * lane)) & (2**64 - 1), np.uint64).view(np.int64))) for c in range(CHUNKS) for lane in range(CHUNK)]
+#: Masks that leave one of the four positions of a chunk out.
+_MASKS = [int(np.array(~(0xFFFF << (16 * lane)) & (2**64 - 1), np.uint64).view(np.int64)) for lane in range(CHUNK)]
 
 
-def _keys() -> Column:
-    """The 32 keys of a signature: each chunk with one of its positions left out."""
-    return F.array(*[F.xxhash64(F.lit(k), F.col(f"s{c}").bitwiseAND(F.lit(mask))) for k, (c, mask) in enumerate(_KEY_PARTS)])
+def _keys(chunks: int) -> Column:
+    """The keys of a signature, four a chunk: each chunk with one of its positions left out."""
+    parts = [(c, mask) for c in range(chunks) for mask in _MASKS]
+    return F.array(*[F.xxhash64(F.lit(k), F.col(f"s{c}").bitwiseAND(F.lit(mask))) for k, (c, mask) in enumerate(parts)])
 
 
-def _distance(left: str, right: str) -> Column:
+def _distance(left: str, right: str, chunks: int) -> Column:
     """Differing positions of two signatures: 16-bit lanes of the xor that are not 0."""
     ones = F.lit(0x0001000100010001)
     total = F.lit(0)
-    for c in range(CHUNKS):
+    for c in range(chunks):
         x = F.col(f"{left}.s{c}").bitwiseXOR(F.col(f"{right}.s{c}"))
         for shift in (8, 4, 2, 1):
             x = x.bitwiseOR(F.shiftrightunsigned(x, shift))
@@ -157,12 +175,12 @@ def _sizes_fit(a: str, b: str, percent: int) -> Column:
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
-def _plausible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+def _plausible(pairs: DataFrame, classes: DataFrame, percent: int, chunks: int) -> DataFrame:
     """The pairs (a, b) whose sizes and signatures allow a link."""
-    marks = F.struct("n_shingles", *[f"s{c}" for c in range(CHUNKS)])
+    marks = F.struct("n_shingles", *_chunk_names(chunks))
     left, right = (classes.select(F.col("rep").alias(end), marks.alias(f"of_{end}")) for end in "ab")
     met = pairs.join(left, "a").join(right, "b")
-    return met.where(_sizes_fit("of_a.n_shingles", "of_b.n_shingles", percent) & (_distance("of_a", "of_b") <= MAX_DISTANCE)).select("a", "b")
+    return met.where(_sizes_fit("of_a.n_shingles", "of_b.n_shingles", percent) & (_distance("of_a", "of_b", chunks) <= 2 * chunks - 1)).select("a", "b")
 
 
 def _sets_of(reps: DataFrame, docs: DataFrame, classes: DataFrame, words: int) -> DataFrame:
@@ -222,31 +240,31 @@ def _nearly_linked(placed: DataFrame, sets: DataFrame, percent: int) -> DataFram
     return a.join(b, "shingle").where(near).select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct()
 
 
-def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
+def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = PERCENT, chunks: int = CHUNKS) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable by links) and kept (doc_id = component_id), per document.
 
-    Links follow the sets of whole texts; ``percent`` must be at least 85, which the distance is made for. A document
+    Links follow the sets of whole texts. ``chunks`` must cover ``percent``: 8 do so from 85 on, 12 from 80 on. A document
     without words or text has no shingles and is alone in its component. Rows without doc_id are left out. Repeated rows
     are one document; of different texts under one doc_id, the one whose set has the smallest digest counts. Only doc_id
     and text are read, other columns may have any name. An empty table gives an empty one.
     """
-    if percent < 85:
-        raise ValueError("the signature distance is set for a similarity of 85 % and above")
+    if not 0 < chunks <= MOST_CHUNKS or lost_share(percent, chunks) > LOST:
+        raise ValueError(f"the distance that {chunks} chunks cover is too small for a similarity of {percent} %")
     docs = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    chunks = [f"s{c}" for c in range(CHUNKS)]
-    marks = F.min(F.struct("set_a", "set_b", "n_shingles", *chunks)).alias("of")
-    marked = cut_lineage(signatures(docs, words).groupBy("doc_id").agg(marks).select("doc_id", "of.*"))
+    names = _chunk_names(chunks)
+    marks = F.min(F.struct("set_a", "set_b", "n_shingles", *names)).alias("of")
+    marked = cut_lineage(signatures(docs, words, chunks).groupBy("doc_id").agg(marks).select("doc_id", "of.*"))
 
     # rows of a class share the signature, so any of them may lend it
     same = marked.where("n_shingles > 0").groupBy("set_a", "set_b")
-    classes = cut_lineage(same.agg(F.min("doc_id").alias("rep"), *[F.first(c).alias(c) for c in ("n_shingles", *chunks)]))
+    classes = cut_lineage(same.agg(F.min("doc_id").alias("rep"), *[F.first(c).alias(c) for c in ("n_shingles", *names)]))
 
-    keyed = classes.select("rep", "n_shingles", F.explode(_keys()).alias("key"))
+    keyed = classes.select("rep", "n_shingles", F.explode(_keys(chunks)).alias("key"))
     several = keyed.groupBy("key").agg(F.min("rep").alias("first"), F.max("rep").alias("last")).where("first < last").select("key", "first")
     members = cut_lineage(keyed.join(several, "key").where("rep <> first"))
 
     stars = members.select(F.col("first").alias("a"), F.col("rep").alias("b")).distinct()
-    stars = cut_lineage(_plausible(stars, classes, percent))
+    stars = cut_lineage(_plausible(stars, classes, percent, chunks))
     links = _linked(stars, _sets_of(_ends(stars), docs, classes, words), percent)
 
     # left to compare: members of a key that the links found so far do not connect
@@ -256,7 +274,7 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int =
     placed = cut_lineage(placed.join(several, "key", "left_semi").select("rep", "component", "n_shingles").distinct())
     if not placed.isEmpty():
         sets = _sets_of(placed, docs, classes, words)
-        rest = cut_lineage(_plausible(_nearly_linked(placed, sets, percent), classes, percent))
+        rest = cut_lineage(_plausible(_nearly_linked(placed, sets, percent), classes, percent, chunks))
         found = components(links.unionByName(_linked(rest, sets, percent)))
 
     class_of = classes.select("set_a", "set_b", "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left")
