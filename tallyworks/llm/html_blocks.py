@@ -2,16 +2,21 @@
 
 A page is turned into lines first: comments, scripts, styles and the markup of parts that never hold the article are
 dropped together with what they hold, every block element ends a line, and the edge of a container leaves an empty line
-behind. Over these lines the lengths of ``WINDOW`` lines are summed. The text begins where that sum surges above
-``SURGE`` and ends where it dives to nothing; of several such stretches the one with most text is the article. Where a page
-names its article itself (``article`` or ``main``), only the lines in there are looked at, from the first surge to the
-last dive.
+behind; edges in or of a dropped part leave none. Over these lines the lengths of ``WINDOW`` lines are summed. The text begins
+where that sum surges above ``SURGE`` and ends where it dives to nothing. The article reaches from the first to the last such
+stretch whose lines are long enough beside those of the stretch with most text, or that lies in the container which
+holds all of these; stretches that are mostly links do not count. Where a page names its article itself (``article`` or
+``main``), only the lines in there are looked at, from the first surge to the last dive.
+
+A part whose name marks it as no article text is dropped, unless it holds most of the text of the page.
 """
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 from html.parser import HTMLParser
 
 import numpy as np
@@ -45,50 +50,79 @@ CHROME = re.compile(
     r"search|share|sharing|sidebar|signup|skip|social|sponsor|sponsored|subscribe|toolbar|widget)(?:$|[\s_-])",
     re.IGNORECASE,
 )
+#: Names that tell what a part has or lacks, not what it is.
+MODIFIER = re.compile(r"(?:^|(?<=[\s_-]))(?:no|not|has|have|with|without)[_-]\S*", re.IGNORECASE)
+#: Whole names of parts that hold no article even with most of the text.
+NEVER = frozenset(
+    "ad ads advert adverts advertisement advertising comment comments commentlist disqus replies reply cookie cookies consent newsletter popup modal promo "
+    "promoted related sponsor sponsored".split()
+)
+#: A stretch belongs to the article if its lines have on average at least this part of the length of those of the stretch with most text.
+DENSE = 0.25
 #: Only the white space that HTML folds, and what Python calls white space besides.
 _FOLD = re.compile(r"\s+")
 
 
 class _Lines(HTMLParser):
-    """Collects lines of text and, for each, whether it lies in an article of the page."""
+    """Collects lines as pieces of text, with the container and, for each, whether it lies in an article of the page.
+
+    Parts named as no article text are numbered, 0 is the page itself; which of them are dropped shows only at the end.
+    """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, bool]] = []
-        self.held: list[str] = []
-        self.open: list[tuple[str, bool]] = []  # tag, and whether it drops its content
-        self.dropping = self.articles = 0
-
-    def end_line(self, gap: bool = False) -> None:
-        text = _FOLD.sub(" ", "".join(self.held)).strip()
-        self.held = []
-        if text:
-            self.lines.append((text, self.articles > 0))
-        if gap:
-            self.lines.append(("", self.articles > 0))
+        self.lines: list[tuple[list[tuple[str, int, bool]], bool, tuple[int, ...]]] = []  # pieces, in an article, containers
+        self.held: list[tuple[str, int, bool]] = []  # text, part, in a link
+        self.open: list[tuple[str, bool, int, tuple[int, ...]]] = []  # tag, whether it drops its content, part and containers around it
+        self.dropping = self.articles = self.part = self.containers = 0
+        self.path: tuple[int, ...] = ()
+        self.link = False
+        self.around, self.plain, self.never = [0], [0], [False]  # by part: the one around it, length of text outside links, name in NEVER
+
+    def end_line(self) -> None:
+        if self.held:
+            self.lines.append((self.held, self.articles > 0, self.path))
+            self.held = []
+        self.link = False
+
+    def gap(self, part: int) -> None:
+        if not self.dropping:
+            self.lines.append(([("", part, False)], self.articles > 0, self.path))
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in BLOCKS:
-            self.end_line(tag in CONTAINERS)
+            self.end_line()
         if tag in VOID:
             return
-        if tag in ENDS_PARAGRAPH and any(t == "p" for t, _ in self.open[-8:]):
+        if tag in ENDS_PARAGRAPH and any(t == "p" for t, *_ in self.open[-8:]):
             self._close("p")
         named = " ".join(v for k, v in attrs if v and k in ("class", "id", "role"))
         hidden = any(k in ("hidden",) or k == "aria-hidden" and v == "true" for k, v in attrs)
         inside = self.articles and tag in ("header", "h1", "h2", "h3", "h4", "h5", "h6")
-        drops = tag in DROPPED or tag == "header" and not self.articles or hidden or tag not in ("html", "body", "article", "main") and not inside and bool(CHROME.search(named))
-        self.open.append((tag, drops))
+        drops = tag in DROPPED or tag == "header" and not self.articles or hidden
+        self.open.append((tag, drops, self.part, self.path))
         self.dropping += drops
+        if named and not self.dropping and not inside and tag not in ("html", "body", "article", "main") and CHROME.search(MODIFIER.sub(" ", named)):
+            self.around.append(self.part)
+            self.plain.append(0)
+            self.never.append(not NEVER.isdisjoint(named.lower().split()))
+            self.part = len(self.around) - 1
+        if tag in CONTAINERS:
+            self.gap(self.part)
+            if tag != "body":
+                self.containers += 1
+                self.path = (*self.path, self.containers)
         self.articles += tag in ("article", "main")
+        self.link = self.link or tag == "a" and any(k == "href" for k, _ in attrs)
 
     def _close(self, tag: str) -> None:
         """Close the innermost open element of that name, and those opened in it; block edges stop the search for inline ones."""
         for at in range(len(self.open) - 1, -1, -1):
             if self.open[at][0] == tag:
-                for name, drops in self.open[at:]:
+                for name, drops, _, _ in self.open[at:]:
                     self.dropping -= drops
                     self.articles -= name in ("article", "main")
+                self.part, self.path = self.open[at][2:]
                 del self.open[at:]
                 return
             if tag not in CONTAINERS and tag not in DROPPED and self.open[at][0] in CONTAINERS:
@@ -96,7 +130,11 @@ class _Lines(HTMLParser):
 
     def handle_endtag(self, tag: str) -> None:
         if tag in BLOCKS:
-            self.end_line(tag in CONTAINERS)
+            self.end_line()
+        if tag in CONTAINERS:
+            self.gap(self.part)
+        if tag == "a":
+            self.link = False
         if tag not in VOID:
             self._close(tag)
 
@@ -105,18 +143,50 @@ class _Lines(HTMLParser):
 
     def handle_data(self, data: str) -> None:
         if not self.dropping:
-            self.held.append(data)
+            self.held.append((data, self.part, self.link))
+            if not self.link:
+                self.plain[self.part] += sum(map(len, data.split()))
+
+    def shown(self) -> list[bool]:
+        """By part, whether its text stays: parts with most of the text do, and what they lie in has to."""
+        plain = self.plain[:]
+        for part in range(len(plain) - 1, 0, -1):
+            plain[self.around[part]] += plain[part]
+        stays = [True]
+        for part in range(1, len(plain)):
+            stays.append(stays[self.around[part]] and 2 * plain[part] > plain[0] and not self.never[part])
+        return stays
 
 
-def lines_of(page: str) -> tuple[list[str], bool]:
-    """Lines of a page in order, empty ones included, and whether they are those of an article the page names itself."""
+@dataclass
+class Lines:
+    """Lines of a page in order, empty ones included, and what is known of them."""
+
+    texts: list[str]
+    linked: np.ndarray  #: length of text in links
+    paths: list[tuple[int, ...]]  #: containers around the line, outermost first
+    named: bool  #: whether they are those of an article the page names itself
+
+
+def lines_of(page: str) -> Lines:
     parser = _Lines()
     parser.feed(page)
     parser.close()
     parser.end_line()
-    if any(text and inside for text, inside in parser.lines):
-        return [text if inside else "" for text, inside in parser.lines], True
-    return [text for text, _ in parser.lines], False
+    shown = parser.shown()
+    texts, linked, inside, paths = [], [], [], []
+    for pieces, in_article, path in parser.lines:
+        left = [(data, link) for data, part, link in pieces if shown[part]]
+        text = _FOLD.sub(" ", "".join([data for data, _ in left])).strip()
+        if text or len(left) == 1 and not left[0][0]:
+            texts.append(text)
+            linked.append(sum(len(data.strip()) for data, link in left if link))
+            inside.append(in_article)
+            paths.append(path)
+    named = any(text and within for text, within in zip(texts, inside, strict=True))
+    if named:
+        texts = [text if within else "" for text, within in zip(texts, inside, strict=True)]
+    return Lines(texts, np.array(linked, np.int64), paths, named)
 
 
 def text_stretches(lengths: np.ndarray, window: int = WINDOW, surge: int = SURGE) -> list[tuple[int, int]]:
@@ -134,17 +204,31 @@ def text_stretches(lengths: np.ndarray, window: int = WINDOW, surge: int = SURGE
     return stretches
 
 
+def _article(lines: Lines, lengths: np.ndarray, stretches: list[tuple[int, int]]) -> tuple[int, int]:
+    """First line of the article and the one after its last, on a page that does not name it."""
+    all_of = [int(lengths[a:b].sum()) for a, b in stretches]
+    plain = [n - int(lines.linked[a:b].sum()) for n, (a, b) in zip(all_of, stretches, strict=True)]
+    average = [n / np.count_nonzero(lengths[a:b]) for n, (a, b) in zip(all_of, stretches, strict=True)]
+    most = max(range(len(stretches)), key=lambda k: (plain[k], all_of[k]))
+    prose = [k for k in range(len(stretches)) if k == most or 2 * plain[k] > all_of[k]]
+    kept = [k for k in prose if average[k] >= DENSE * average[most]]
+    around = [lines.paths[i] for k in kept for i in range(*stretches[k]) if lengths[i]]
+    shared = os.path.commonprefix(around)
+    kept += [k for k in prose if shared and lines.paths[stretches[k][0]][: len(shared)] == shared]
+    return stretches[min(kept)][0], stretches[max(kept)][1]
+
+
 def main_text(page: str | None) -> str:
     """The article: its blocks in page order, joined by one newline; empty without any."""
     if not page:
         return ""
-    lines, named = lines_of(page)
-    lengths = np.fromiter(map(len, lines), np.int64, len(lines))
+    lines = lines_of(page)
+    lengths = np.fromiter(map(len, lines.texts), np.int64, len(lines.texts))
     stretches = text_stretches(lengths)
     if not stretches:
         return ""
-    begin, end = (stretches[0][0], stretches[-1][1]) if named else max(stretches, key=lambda s: int(lengths[s[0] : s[1]].sum()))
-    return "\n".join(filter(None, lines[begin:end]))
+    begin, end = (stretches[0][0], stretches[-1][1]) if lines.named else _article(lines, lengths, stretches)
+    return "\n".join(filter(None, lines.texts[begin:end]))
 
 
 def extract(pages: DataFrame) -> DataFrame:

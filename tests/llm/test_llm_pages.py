@@ -1,0 +1,38 @@
+"""Articles of pages that do not name them."""
+
+import pytest
+
+from tallyworks.llm.html_blocks import main_text
+
+FIRST, SECOND, THIRD = (f"{w} paragraph of the article, with enough words in it to be one." for w in ("First", "Second", "Third"))
+WHOLE = f"{FIRST}\n{SECOND}\n{THIRD}"
+AD = "<div class=ad>Buy this now, it is very cheap.</div>"
+
+
+@pytest.mark.parametrize("between", [AD + AD, f"<div>{AD}</div>", "</div></div><div><div>", "</div></section><section><div>", AD * 9, "</div></div></div><div><div><div>"])
+def test_edges_between_paragraphs_do_not_cut_the_article(between):
+    page = f"<body><section><div><div><p>{FIRST}</p>{between}<p>{SECOND}</p>{between}<p>{THIRD}</p></div></div></section>"
+    assert main_text(page) == WHOLE
+
+
+def test_a_short_end_in_the_content_container_stays():
+    page = f"<div id=content><div><div><p>{FIRST}</p><p>{SECOND}</p></div></div><div><div><p>{THIRD}</p></div></div><div><div><p>End.</p></div></div></div>"
+    assert main_text("<body>" + page) == WHOLE + "\nEnd."
+
+
+def test_links_and_short_lines_apart_from_the_article_go():
+    links = "<div><div><div>" + "".join(f"<p><a href=/{i}>Another story of this site, number {i}</a></p>" for i in range(9)) + "</div></div></div>"
+    short = "<div><div><div><p>Log in</p></div></div></div>"
+    assert main_text(f"<body>{short}{links}<div><div><p>{FIRST}</p><p>{SECOND}</p><p>{THIRD}</p></div></div>{links}{short}") == WHOLE
+
+
+@pytest.mark.parametrize("named", ["class='content no-sidebar'", "id=main class=has-sidebar", "class='page--with-left-sidebar'", "class='layout-header'", "class='widget'"])
+def test_names_around_the_article_do_not_drop_it(named):
+    page = f"<body><div {named}><p>{FIRST}</p><p>{SECOND}</p><p>{THIRD}</p>{AD}</div><div class=sidebar>Other stories</div>"
+    assert main_text(page) == WHOLE
+
+
+def test_named_parts_go_where_they_hold_less():
+    page = f"<body><div><p>{FIRST}</p><p>{SECOND} <span class=share>Share</span></p><p>{THIRD}</p></div><div class=site-sidebar>Other stories</div>"
+    assert main_text(page) == WHOLE
+    assert main_text(f"<body><p>{FIRST}</p><div id=comments><p>{SECOND}</p><p>{THIRD}</p></div>") == FIRST
