@@ -1,4 +1,9 @@
-"""Bloom filters: built by a distributed aggregate, probed in Arrow batches."""
+"""Bloom filters: built by a distributed aggregate, probed in Arrow batches or by a join.
+
+The positions of a value are a function of the value and the size of the filter alone. A filter of up to ``MAX_BITS`` is
+broadcast; the words of a larger one are met by a shuffle join. The same values pass either way. Keys are always
+checked by a semi join after the filter.
+"""
 
 from __future__ import annotations
 
@@ -17,7 +22,7 @@ from tallyworks.functions.text import raw_tokens
 from tallyworks.operators.nesting import nest
 from tallyworks.session import fits_broadcast
 
-#: Largest bit array that is collected and broadcast (16 MiB). Larger ones are never built.
+#: Largest bit array that is collected and broadcast (16 MiB). Larger ones stay distributed.
 MAX_BITS = 1 << 27
 #: Largest member set, in bytes, that is looked up itself instead of through a filter.
 MEMBER_BYTES = 16 * 1024 * 1024
@@ -36,6 +41,28 @@ def _hash_pair(value: Column, bits: int) -> tuple[Column, Column]:
     return F.pmod(F.xxhash64(text), size), F.pmod(F.xxhash64(text, F.lit("second")), size)
 
 
+def _spots(df: DataFrame, column: str, bits: int, hashes: int) -> DataFrame:
+    """The column and each position of its value: a 64-bit word and a bit in it."""
+    first, second = _hash_pair(F.col(column), bits)
+    size = F.lit(bits).cast("bigint")
+    positions = F.array(*[F.pmod(first + i * second, size) for i in range(hashes)])
+    spots = df.dropna(subset=[column]).select(column, F.explode(positions).alias("_spot"))
+    return spots.select(column, F.expr("_spot div 64").alias("word"), F.pmod("_spot", F.lit(64)).cast("int").alias("bit"))
+
+
+def _words(df: DataFrame, column: str, bits: int, hashes: int) -> DataFrame:
+    """The 64-bit words of a filter that are not 0, merged on the executors with partial aggregation."""
+    one = F.lit(1).cast("bigint")
+    return _spots(df, column, bits, hashes).groupBy("word").agg(F.bit_or(F.call_function("shiftleft", one, F.col("bit"))).alias("mask"))
+
+
+def _passing(values: DataFrame, column: str, members: DataFrame, member: str, bits: int, hashes: int) -> DataFrame:
+    """The different values that pass a filter of any size: each of their positions meets its word in a join."""
+    met = _spots(values.select(column).distinct(), column, bits, hashes).join(_words(members, member, bits, hashes), "word")
+    hit = met.where(F.call_function("shiftright", F.col("mask"), F.col("bit")).bitwiseAND(F.lit(1)) == 1)
+    return hit.groupBy(column).count().where(F.col("count") == hashes).select(column)
+
+
 @dataclass(frozen=True)
 class BloomFilter:
     """Bits held once per executor, with the number of hash functions."""
@@ -71,20 +98,12 @@ class BloomFilter:
 def build_bloom(df: DataFrame, column: str, members: int, false_positives: float) -> BloomFilter:
     """Filter of the values of a column.
 
-    Positions are merged into 64-bit words on the executors with partial aggregation; what comes
-    to the driver is at most ``bits / 64`` words, whatever the number of rows.
+    What comes to the driver is at most ``bits / 64`` words, whatever the number of rows.
     """
     bits, hashes = filter_size(members, false_positives)
     if bits > MAX_BITS:
-        raise ValueError(f"{bits} bits are too many to broadcast; use an exact semi join")
-    first, second = _hash_pair(F.col(column), bits)
-    size = F.lit(bits).cast("bigint")
-    positions = F.array(*[F.pmod(first + i * second, size) for i in range(hashes)])
-    spots = df.dropna(subset=[column]).select(F.explode(positions).alias("_spot"))
-    one = F.lit(1).cast("bigint")
-    words = spots.groupBy(F.expr("_spot div 64").alias("word")).agg(
-        F.bit_or(F.call_function("shiftleft", one, F.pmod("_spot", F.lit(64)).cast("int"))).alias("mask")
-    )
+        raise ValueError(f"{bits} bits are too many to broadcast")
+    words = _words(df, column, bits, hashes)
     held = words.toArrow()
     table = np.zeros(bits // 64 + 1, dtype=np.uint64)
     table[held["word"].to_numpy()] = held["mask"].to_numpy().astype(np.int64).view(np.uint64)
@@ -95,16 +114,24 @@ def fits_bloom(members: int, false_positives: float) -> bool:
     return filter_size(members, false_positives)[0] <= MAX_BITS
 
 
+def _distinct_members(members: DataFrame, member: str) -> DataFrame:
+    return members.select(F.col(member).cast("string").alias("_member")).dropna().distinct()
+
+
+def _likely(df: DataFrame, key: str, known: DataFrame, false_positives: float) -> DataFrame:
+    """Rows that pass the filter of different members; all rows if it is too large to broadcast."""
+    count = known.count()
+    return df.filter(build_bloom(known, "_member", count, false_positives).may_contain(key)) if fits_bloom(count, false_positives) else df
+
+
 def bloom_filter_keys(df: DataFrame, key: str, members: DataFrame, member: str, false_positives: float = 0.01) -> DataFrame:
-    """Rows whose key may be among the members: no member is lost, few others pass.
+    """Rows whose key, as text, is among the members, at every size of the member set.
 
-    A member set too large for a broadcast filter is matched exactly by a semi join.
+    The filter keeps most other rows from the shuffle while it is small enough to broadcast; a semi join
+    decides. So neither the number of members nor ``false_positives`` changes the result.
     """
-    known = members.select(F.col(member).alias("_member")).dropna()
-    count = known.count()
-    if not fits_bloom(count, false_positives):
-        return df.join(known.distinct(), F.col(key) == F.col("_member"), "left_semi")
-    return df.filter(build_bloom(known, "_member", count, false_positives).may_contain(key))
+    known = _distinct_members(members, member)
+    return _likely(df, key, known, false_positives).join(known, F.col(key).cast("string") == F.col("_member"), "left_semi")
 
 
 def _any_of(members: DataFrame, member: str, tokens: Column) -> Column:
@@ -134,23 +161,25 @@ def bloom_filter_tokens(
     """Rows with a text in which any cleaned token may be among the members, each row once.
 
     With ``exact_on``, the columns that identify a row, none is kept by a false positive: a member
-    set measured below ``max_bytes`` is looked up itself, without a shuffle; beyond it, the rows
-    that pass the filter are checked by a semi join of their tokens.
+    set measured below ``max_bytes`` is looked up itself, without a shuffle; beyond it, the tokens of
+    rows that pass the filter are checked by a semi join. Rows are known by a digest of their text there, so
+    null and repeated ids make no difference.
     """
-    known = members.select(F.col(member).cast("string").alias("_member")).dropna().distinct()
+    known = _distinct_members(members, member)
     rows = df.dropna(subset=[text])
     if exact_on is not None and fits_broadcast(known, max_bytes):
         return rows.filter(_any_of(known, "_member", raw_tokens(text)))
     count = known.count()
     if fits_bloom(count, false_positives):
         rows = rows.filter(build_bloom(known, "_member", count, false_positives).any_member(raw_tokens(text)))
-    elif exact_on is None:
-        raise ValueError("too many members for a broadcast filter: name the columns in exact_on")
+        if exact_on is None:
+            return rows
+    digest = F.sha2(F.col(text).cast("string"), 256)
+    tokens = rows.select(digest.alias("_digest"), F.explode(raw_tokens(text)).alias("_token"))
     if exact_on is None:
-        return rows
-    tokens = rows.select(*exact_on, F.explode(raw_tokens(text)).alias("_token"))
-    right = tokens.join(known, F.col("_token") == F.col("_member"), "left_semi").select(*exact_on).distinct()
-    return rows.join(right, list(exact_on), "left_semi")
+        known = _passing(tokens, "_token", known, "_member", *filter_size(count, false_positives)).withColumnRenamed("_token", "_member")
+    found = tokens.join(known, F.col("_token") == F.col("_member"), "left_semi").select("_digest").distinct()
+    return rows.join(found, digest == F.col("_digest"), "left_semi")
 
 
 def bloom_nest(
@@ -172,9 +201,8 @@ def bloom_nest(
     ``both_sides`` to the parents as well. The join itself is exact.
     """
     chosen = parents.filter(F.col(measure) >= threshold)
+    known = _distinct_members(chosen, parent_key)
     if both_sides:
-        chosen = bloom_filter_keys(parents, parent_key, chosen, parent_key, false_positives).filter(
-            F.col(measure) >= threshold
-        )
-    related = bloom_filter_keys(children, child_key, chosen, parent_key, false_positives)
+        chosen = _likely(parents, parent_key, known, false_positives).filter(F.col(measure) >= threshold)
+    related = _likely(children, child_key, known, false_positives)
     return nest(chosen, related, parent_key, child_key, child_columns, keep_childless=False, **options)
