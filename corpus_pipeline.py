@@ -29,9 +29,11 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_bad(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a quality score from the threshold on."""
+    """Documents with a quality score from the threshold on; all of them where the labels give no model."""
     small_batches(spark)
     model = quality_lines.train(docs, _labels(spark, sf_dir))
+    if model is None:
+        return docs
     return quality_lines.with_score(docs, model, name="quality_score").where(F.col("quality_score") >= quality_lines.THRESHOLD).select(docs.columns)
 
 

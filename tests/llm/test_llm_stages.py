@@ -60,3 +60,11 @@ def test_signatures_follow_the_similarity(spark):
     assert near_dups.near_duplicates(docs, words=5, percent=80, chunks=12).count() == 0
     with pytest.raises(ValueError):
         near_dups.near_duplicates(docs, words=5, percent=79, chunks=12)
+
+
+@pytest.mark.parametrize("labels", [[], [(i, 1, 0) for i in range(40)]])
+def test_without_a_model_the_classifier_stages_keep_all(spark, tmp_path, labels):
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs = spark.createDataFrame([(i, f"A clean text, number {i}.", "en", "s", 20) for i in range(40)], COLUMNS)
+    for stage in (corpus_pipeline.drop_toxic, corpus_pipeline.drop_bad):
+        assert sorted(stage(spark, docs, str(tmp_path)).collect()) == sorted(docs.collect())
