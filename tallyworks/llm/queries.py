@@ -5,7 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyworks.llm import ann_codes, html_blocks, near_dups, packing, passages, pieces, quality_lines, repetition, toxicity, url_trees
+from tallyworks.llm import (
+    ann_codes,
+    html_blocks,
+    near_dups,
+    packing,
+    passages,
+    pieces,
+    quality_lines,
+    repetition,
+    token_blocks,
+    toxicity,
+    url_trees,
+)
 
 #: The vocabulary files to pack and to encode by; file names of the ``public_tokenizers`` package.
 TOKENIZER = "byte_bpe_50k.json"
@@ -81,6 +93,11 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encoded_digests(_table(spark, sf_dir, "documents"), _tokenizer(PIECES))
 
 
+def op11_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place, number and digest of the ids of every document, as read back from the files they were written to."""
+    return token_blocks.written_digests(_table(spark, sf_dir, "documents"), _tokenizer(TOKENIZER))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -94,5 +111,6 @@ QUERIES = {
         op8_packing,
         op9_main_text,
         op10_pieces,
+        op11_token_blocks,
     )
 }
