@@ -67,4 +67,72 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_co
 FROM base
 """
 
-ORACLES = {"op3_minhash_dedup": NEAR_DUPLICATES, "op6_repetition_rules": REPETITION}
+#: Unsigned crc32 of a text of ASCII characters, bit by bit.
+_CRC32 = (
+    "xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split({}, ''), lambda x: ord(x)::BIGINT)), "
+    "lambda s, b: list_reduce(list_concat([xor(s, b)], range(8)), lambda a, i: xor(a >> 1, CASE WHEN a & 1 = 1 THEN 3988292384 ELSE 0 END))))"
+)
+
+PREFIX_TRIE = rf"""
+WITH turns AS (
+  SELECT conv_id AS c, {{'r': coalesce(role, ''), 't': coalesce(text, '')}} AS u,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS k
+  FROM conversations WHERE conv_id IS NOT NULL
+),
+convs AS (SELECT c, list(u ORDER BY k) AS us, {_CRC32.format("c::VARCHAR")} % 4 AS h FROM turns GROUP BY c),
+built AS (
+  SELECT a.c, list_concat(coalesce(b.us[1:a.h], []), a.us[a.h + 1:]) AS p FROM convs a LEFT JOIN convs b ON b.c = a.c - a.c % 20
+),
+beginnings AS (SELECT c, len(p) AS n, d, p[1:d] AS p FROM built, unnest(range(0, len(p) + 1)) AS t(d)),
+grouped AS (
+  SELECT d, p, min(c) AS c, count(*) AS n_convs, coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (n = d), '') AS ends
+  FROM beginnings GROUP BY d, p
+),
+nodes AS (
+  SELECT row_number() OVER () AS id, *, (n_convs - 1) * CASE WHEN d = 0 THEN 0 ELSE len({_WORDS.format("p[d].t")}) END AS saved FROM grouped
+),
+above AS (SELECT id, d AS depth, saved, e, p[1:e] AS q FROM nodes, unnest(range(0, d + 1)) AS t(e)),
+children AS (SELECT e AS d, q AS p, count(*) AS n FROM above WHERE depth = e + 1 GROUP BY ALL),
+leaves AS (SELECT n.id FROM nodes n ANTI JOIN children c ON c.d = n.d AND c.p = n.p),
+below AS (SELECT e AS d, q AS p, sum(saved) AS saved, count(l.id) AS n FROM above LEFT JOIN leaves l USING (id) GROUP BY e, q)
+SELECT n.c AS conv_id, n.d AS depth, up.c AS parent_conv_id, n.n_convs, coalesce(ch.n, 0) AS n_children, b.n AS n_leaves,
+  b.saved AS saved_tokens, sha256(n.ends) AS ends_sha256
+FROM nodes n JOIN below b ON b.d = n.d AND b.p = n.p LEFT JOIN children ch ON ch.d = n.d AND ch.p = n.p
+LEFT JOIN nodes up ON up.d = n.d - 1 AND up.p = n.p[1:n.d - 1]
+"""
+
+COLLOCATIONS = rf"""
+WITH texts AS (SELECT coalesce(lang, 'und') AS lang, {_LOWER.format("coalesce(text, '')")} AS text FROM documents),
+cut AS (SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?
+-
+]')) AS piece FROM texts),
+pieces AS (SELECT lang, regexp_extract_all(piece, '[^ 	]+') AS w FROM cut),
+totals AS (SELECT lang, sum(len(w)) AS n FROM pieces GROUP BY lang),
+counts AS (
+  SELECT lang, array_to_string(w[i:i + k - 1], ' ') AS p, k, count(*) AS f
+  FROM pieces, unnest(range(1, 5)) AS s(k), unnest(range(1, len(w) - k + 2)) AS t(i) GROUP BY ALL
+),
+phrases AS (SELECT lang, p, k, f AS a, string_split(p, ' ') AS w FROM counts WHERE k > 1 AND f >= 30),
+cuts AS (
+  SELECT o.lang, o.p, o.k, o.a, o.j, x.f AS l, y.f AS r, (2000000::HUGEINT * o.a) // (x.f::HUGEINT + y.f) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS j FROM phrases) o
+  JOIN counts x ON x.lang = o.lang AND x.p = array_to_string(o.w[1:o.j], ' ')
+  JOIN counts y ON y.lang = o.lang AND y.p = array_to_string(o.w[o.j + 1:], ' ')
+),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, j) = 1),
+inside AS (
+  SELECT DISTINCT b.lang, b.p FROM phrases b JOIN phrases o
+  ON o.lang = b.lang AND o.k > b.k AND 100::HUGEINT * o.a >= 80::HUGEINT * b.a AND contains(' ' || o.p || ' ', ' ' || b.p || ' ')
+),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, p) AS place FROM best ANTI JOIN inside USING (lang, p)
+)
+SELECT lang, place AS rank, p AS phrase, a, l, r, n, score::BIGINT AS score FROM ranked JOIN totals USING (lang) WHERE place <= 2000
+"""
+
+ORACLES = {
+    "op3_minhash_dedup": NEAR_DUPLICATES,
+    "op6_repetition_rules": REPETITION,
+    "op12_prefix_trie": PREFIX_TRIE,
+    "op13_collocations": COLLOCATIONS,
+}

@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 
 from tallyworks.llm import (
     ann_codes,
+    collocations,
     html_blocks,
     near_dups,
     packing,
     passages,
     pieces,
+    prefix_trie,
     quality_lines,
     repetition,
     token_blocks,
@@ -98,6 +100,14 @@ def op11_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_blocks.written_digests(_table(spark, sf_dir, "documents"), _tokenizer(TOKENIZER))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(_table(spark, sf_dir, "conversations"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -112,5 +122,7 @@ QUERIES = {
         op9_main_text,
         op10_pieces,
         op11_token_blocks,
+        op12_prefix_trie,
+        op13_collocations,
     )
 }

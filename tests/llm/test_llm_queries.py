@@ -19,7 +19,7 @@ def test_query_has_the_rows_of_its_sql(spark, name):
 
 def test_all_are_registered():
     names = set(contract.queries())
-    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 12)} and "pipeline" in names
+    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 14)} and "pipeline" in names
 
 
 def test_nothing_else_imports_the_subpackage():
