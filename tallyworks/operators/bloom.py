@@ -1,8 +1,9 @@
-"""Bloom filters: built by a distributed aggregate, probed in Arrow batches or by a join.
+"""Blocked Bloom filters: all bits of a value lie in one block, so a value meets its filter in one step.
 
-The positions of a value are a function of the value and the size of the filter alone. A filter of up to ``MAX_BITS`` is
-broadcast; the words of a larger one are met by a shuffle join. The same values pass either way. Keys are always
-checked by a semi join after the filter.
+A block has eight words of 64 bits; a value sets one bit in each. Its block and its bits are a function of the value and
+the number of blocks alone. The filter is a table of blocks, made by one aggregate and as large as it has to be: rows meet
+their block in one join, whether Spark sends the blocks to all executors or shuffles both sides. A filter of up to
+``MAX_BITS`` can also be held by every executor, to probe arrays of values. The same values pass either way.
 """
 
 from __future__ import annotations
@@ -10,70 +11,147 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyworks.functions.text import raw_tokens
 from tallyworks.operators.nesting import nest
 from tallyworks.session import fits_broadcast
 
-#: Largest bit array that is collected and broadcast (16 MiB). Larger ones stay distributed.
+#: Largest filter, in bits, that is sent to every executor (16 MiB). Larger ones stay distributed.
 MAX_BITS = 1 << 27
 #: Largest member set, in bytes, that is looked up itself instead of through a filter.
 MEMBER_BYTES = 16 * 1024 * 1024
 
+WORDS = 8
+WORD_BITS = 64
+BLOCK_BITS = WORDS * WORD_BITS
+
 
 def filter_size(members: int, false_positives: float) -> tuple[int, int]:
-    """Bits and hash functions for a number of members and a rate of false positives."""
+    """Bits and hash functions of a filter without blocks for a number of members and a rate of false positives."""
     bits = max(1, int(-members * math.log(false_positives) / math.log(2) ** 2))
     return bits, max(1, round(bits / max(members, 1) * math.log(2)))
 
 
-def _hash_pair(value: Column, bits: int) -> tuple[Column, Column]:
-    """Two hashes below the number of bits; position i is (first + i * second) mod bits."""
-    size = F.lit(bits).cast("bigint")
+def _rate(load: float) -> float:
+    """False positives when blocks hold ``load`` values on average.
+
+    How many a block holds follows a Poisson distribution; a block with n has a bit set in a word with 1 - (1 - 1/64)^n.
+    """
+    most = int(load + 12 * math.sqrt(load) + 12)
+    chance, rate = math.exp(-load), 0.0
+    for n in range(1, most):
+        chance *= load / n
+        rate += chance * (1 - (1 - 1 / WORD_BITS) ** n) ** WORDS
+    return rate
+
+
+def block_count(members: int, false_positives: float) -> int:
+    """Blocks that keep the rate of false positives for a number of members."""
+    if not 0 < false_positives < 1:
+        raise ValueError("the rate of false positives lies between 0 and 1")
+    low, high = 1e-6, 500.0
+    for _ in range(60):
+        middle = (low + high) / 2
+        low, high = (middle, high) if _rate(middle) <= false_positives else (low, middle)
+    return max(1, math.ceil(members / low))
+
+
+def _place(value: Column, blocks: int) -> tuple[Column, Column]:
+    """Block of a value, and a hash that holds six bits for each word of the block."""
     text = value.cast("string")
-    return F.pmod(F.xxhash64(text), size), F.pmod(F.xxhash64(text, F.lit("second")), size)
+    return F.pmod(F.xxhash64(text), F.lit(blocks).cast("bigint")), F.xxhash64(text, F.lit("bits"))
 
 
-def _spots(df: DataFrame, column: str, bits: int, hashes: int) -> DataFrame:
-    """The column and each position of its value: a 64-bit word and a bit in it."""
-    first, second = _hash_pair(F.col(column), bits)
-    size = F.lit(bits).cast("bigint")
-    positions = F.array(*[F.pmod(first + i * second, size) for i in range(hashes)])
-    spots = df.dropna(subset=[column]).select(column, F.explode(positions).alias("_spot"))
-    return spots.select(column, F.expr("_spot div 64").alias("word"), F.pmod("_spot", F.lit(64)).cast("int").alias("bit"))
+def _bit(hashed: Column, word: int) -> Column:
+    """The place of the bit in a word of the block."""
+    return F.shiftright(hashed, 6 * word).bitwiseAND(F.lit(WORD_BITS - 1)).cast("int")
 
 
-def _words(df: DataFrame, column: str, bits: int, hashes: int) -> DataFrame:
-    """The 64-bit words of a filter that are not 0, merged on the executors with partial aggregation."""
-    one = F.lit(1).cast("bigint")
-    return _spots(df, column, bits, hashes).groupBy("word").agg(F.bit_or(F.call_function("shiftleft", one, F.col("bit"))).alias("mask"))
+@dataclass(frozen=True)
+class BlockedBloom:
+    """A filter as a table: ``block`` and its words ``w0`` to ``w7``; blocks without a bit are left out."""
 
+    table: DataFrame
+    blocks: int
 
-def _passing(values: DataFrame, column: str, members: DataFrame, member: str, bits: int, hashes: int) -> DataFrame:
-    """The different values that pass a filter of any size: each of their positions meets its word in a join."""
-    met = _spots(values.select(column).distinct(), column, bits, hashes).join(_words(members, member, bits, hashes), "word")
-    hit = met.where(F.call_function("shiftright", F.col("mask"), F.col("bit")).bitwiseAND(F.lit(1)) == 1)
-    return hit.groupBy(column).count().where(F.col("count") == hashes).select(column)
+    @property
+    def bits(self) -> int:
+        return self.blocks * BLOCK_BITS
+
+    @property
+    def fits(self) -> bool:
+        """Whether every executor may hold it."""
+        return self.bits <= MAX_BITS
+
+    def keep(self, df: DataFrame, value: str | Column) -> DataFrame:
+        """Rows whose value may be a member; none with a null value is kept.
+
+        One equi-join with the blocks. A small filter is sent to the rows; otherwise both sides are shuffled by block, and
+        rows of one frequent value, which all want the same block, are split by adaptive execution.
+        """
+        column = F.col(value) if isinstance(value, str) else value
+        block, hashed = _place(column, self.blocks)
+        placed = df.where(column.isNotNull()).withColumns({"_bloom_block": block, "_bloom_bits": hashed})
+        words = self.table.select(F.col("block").alias("_bloom_block"), *[F.col(f"w{i}").alias(f"_bloom_w{i}") for i in range(WORDS)])
+        met = placed.join(F.broadcast(words) if self.fits else words, "_bloom_block")
+        one = F.lit(1).cast("bigint")
+        hits = [F.call_function("shiftright", F.col(f"_bloom_w{i}"), _bit(F.col("_bloom_bits"), i)).bitwiseAND(one) == one for i in range(WORDS)]
+        return met.where(reduce(Column.__and__, hits)).select(*df.columns)
+
+    def held(self) -> BloomFilter:
+        """The filter in every executor. At most ``MAX_BITS`` come to the driver on the way."""
+        if not self.fits:
+            raise ValueError(f"{self.bits} bits are too many to broadcast")
+        rows = self.table.toArrow()
+        words = np.zeros((self.blocks, WORDS), dtype=np.int64)
+        for i in range(WORDS):
+            words[rows["block"].to_numpy(), i] = rows[f"w{i}"].to_numpy()
+        return BloomFilter(self.table.sparkSession.sparkContext.broadcast(words), self.blocks)
+
+    def write(self, path: str) -> None:
+        """Save the filter; the number of blocks stands in every row, and in one without block for a filter without members."""
+        none = self.table.sparkSession.range(1).select(F.lit(None).cast("bigint").alias("block"))
+        rows = self.table.unionByName(none, allowMissingColumns=True).withColumn("blocks", F.lit(self.blocks).cast("bigint"))
+        rows.write.mode("overwrite").parquet(path)
+
+
+def read_bloom(spark: SparkSession, path: str) -> BlockedBloom:
+    """A filter that was written."""
+    rows = spark.read.parquet(path)
+    return BlockedBloom(rows.where("block is not null").drop("blocks"), rows.select("blocks").first()[0])
+
+
+def blocked_bloom(df: DataFrame, column: str, members: int, false_positives: float) -> BlockedBloom:
+    """Filter of the values of a column, of which there are about ``members`` different ones.
+
+    One aggregate: each task merges its values into blocks before they are shuffled.
+    """
+    blocks = block_count(members, false_positives)
+    block, hashed = _place(F.col(column), blocks)
+    one = F.lit(1).cast("bigint")
+    values = df.where(F.col(column).isNotNull()).select(block.alias("block"), hashed.alias("_bits"))
+    masks = [F.bit_or(F.call_function("shiftleft", one, _bit(F.col("_bits"), i))).alias(f"w{i}") for i in range(WORDS)]
+    return BlockedBloom(values.groupBy("block").agg(*masks), blocks)
 
 
 @dataclass(frozen=True)
 class BloomFilter:
-    """Bits held once per executor, with the number of hash functions."""
+    """The words of all blocks, held once per executor."""
 
     words: Broadcast
-    bits: int
-    hashes: int
+    blocks: int
 
     def any_member(self, values: Column) -> Column:
         """Whether any element of an array column may be a member; false for an empty array."""
-        words, bits, hashes = self.words, self.bits, self.hashes
+        words, blocks = self.words, self.blocks
 
         @F.arrow_udf("boolean")
         def probe(pairs: pa.Array) -> pa.Array:
@@ -81,13 +159,12 @@ class BloomFilter:
             offsets = pairs.offsets.to_numpy() // 2
             numbers = pairs.values.to_numpy(zero_copy_only=False).reshape(-1, 2)
             hit = np.ones(len(numbers), dtype=bool)
-            for i in range(hashes):
-                spot = (numbers[:, 0] + i * numbers[:, 1]) % bits
-                hit &= (table[spot >> 6] >> (spot & 63).astype(np.uint64)) & np.uint64(1) == 1
+            for i in range(WORDS):
+                hit &= (table[numbers[:, 0], i] >> ((numbers[:, 1] >> (6 * i)) & (WORD_BITS - 1))) & 1 == 1
             upto = np.concatenate(([0], np.cumsum(hit)))
             return pa.array(upto[offsets[1:]] > upto[offsets[:-1]])
 
-        pairs = F.flatten(F.transform(values, lambda v: F.array(*_hash_pair(v, bits))))
+        pairs = F.flatten(F.transform(values, lambda v: F.array(*_place(v, blocks))))
         return probe(F.coalesce(pairs, F.array().cast("array<bigint>")))
 
     def may_contain(self, value: str | Column) -> Column:
@@ -96,41 +173,37 @@ class BloomFilter:
 
 
 def build_bloom(df: DataFrame, column: str, members: int, false_positives: float) -> BloomFilter:
-    """Filter of the values of a column.
-
-    What comes to the driver is at most ``bits / 64`` words, whatever the number of rows.
-    """
-    bits, hashes = filter_size(members, false_positives)
-    if bits > MAX_BITS:
-        raise ValueError(f"{bits} bits are too many to broadcast")
-    words = _words(df, column, bits, hashes)
-    held = words.toArrow()
-    table = np.zeros(bits // 64 + 1, dtype=np.uint64)
-    table[held["word"].to_numpy()] = held["mask"].to_numpy().astype(np.int64).view(np.uint64)
-    return BloomFilter(df.sparkSession.sparkContext.broadcast(table), bits, hashes)
-
-
-def fits_bloom(members: int, false_positives: float) -> bool:
-    return filter_size(members, false_positives)[0] <= MAX_BITS
+    """Filter of the values of a column, held by every executor; ``ValueError`` if it has more than ``MAX_BITS``."""
+    return blocked_bloom(df, column, members, false_positives).held()
 
 
 def _distinct_members(members: DataFrame, member: str) -> DataFrame:
     return members.select(F.col(member).cast("string").alias("_member")).dropna().distinct()
 
 
+def _bloom_of(known: DataFrame, false_positives: float) -> BlockedBloom:
+    """Filter of different members, sized by their number."""
+    return blocked_bloom(known, "_member", known.count(), false_positives)
+
+
 def _likely(df: DataFrame, key: str, known: DataFrame, false_positives: float) -> DataFrame:
-    """Rows that pass the filter of different members; all rows if it is too large to broadcast."""
-    count = known.count()
-    return df.filter(build_bloom(known, "_member", count, false_positives).may_contain(key)) if fits_bloom(count, false_positives) else df
+    """Rows that pass the filter of different members before they are shuffled; all rows if it is too large to be sent."""
+    bloom = _bloom_of(known, false_positives)
+    return bloom.keep(df, key) if bloom.fits else df
 
 
-def bloom_filter_keys(df: DataFrame, key: str, members: DataFrame, member: str, false_positives: float = 0.01) -> DataFrame:
+def bloom_filter_keys(
+    df: DataFrame, key: str, members: DataFrame, member: str, false_positives: float = 0.01, *, exact: bool = True
+) -> DataFrame:
     """Rows whose key, as text, is among the members, at every size of the member set.
 
     The filter keeps most other rows from the shuffle while it is small enough to broadcast; a semi join
-    decides. So neither the number of members nor ``false_positives`` changes the result.
+    decides. So neither the number of members nor ``false_positives`` changes the result. Without ``exact`` the filter
+    decides: no member is lost, and of other keys about the share ``false_positives`` passes, at every size as well.
     """
     known = _distinct_members(members, member)
+    if not exact:
+        return _bloom_of(known, false_positives).keep(df, key)
     return _likely(df, key, known, false_positives).join(known, F.col(key).cast("string") == F.col("_member"), "left_semi")
 
 
@@ -169,17 +242,18 @@ def bloom_filter_tokens(
     rows = df.dropna(subset=[text])
     if exact_on is not None and fits_broadcast(known, max_bytes):
         return rows.filter(_any_of(known, "_member", raw_tokens(text)))
-    count = known.count()
-    if fits_bloom(count, false_positives):
-        rows = rows.filter(build_bloom(known, "_member", count, false_positives).any_member(raw_tokens(text)))
+    bloom = _bloom_of(known, false_positives)
+    if bloom.fits:
+        rows = rows.filter(bloom.held().any_member(raw_tokens(text)))
         if exact_on is None:
             return rows
     digest = F.sha2(F.col(text).cast("string"), 256)
     tokens = rows.select(digest.alias("_digest"), F.explode(raw_tokens(text)).alias("_token"))
     if exact_on is None:
-        known = _passing(tokens, "_token", known, "_member", *filter_size(count, false_positives)).withColumnRenamed("_token", "_member")
-    found = tokens.join(known, F.col("_token") == F.col("_member"), "left_semi").select("_digest").distinct()
-    return rows.join(found, digest == F.col("_digest"), "left_semi")
+        found = bloom.keep(tokens, "_token")
+    else:
+        found = tokens.join(known, F.col("_token") == F.col("_member"), "left_semi")
+    return rows.join(found.select("_digest").distinct(), digest == F.col("_digest"), "left_semi")
 
 
 def bloom_nest(
@@ -197,12 +271,12 @@ def bloom_nest(
 ) -> DataFrame:
     """Parents at or above a threshold with their children, without the childless.
 
-    The filter of the chosen parents is applied to the children before they are shuffled; with
-    ``both_sides`` to the parents as well. The join itself is exact.
+    The filter of the chosen parents is applied to the children before they are shuffled; with ``both_sides`` a filter
+    of the keys of those children is applied to the chosen parents in turn, so that few parents without children are
+    shuffled. The join itself is exact.
     """
     chosen = parents.filter(F.col(measure) >= threshold)
-    known = _distinct_members(chosen, parent_key)
+    related = _likely(children, child_key, _distinct_members(chosen, parent_key), false_positives)
     if both_sides:
-        chosen = _likely(parents, parent_key, known, false_positives).filter(F.col(measure) >= threshold)
-    related = _likely(children, child_key, known, false_positives)
+        chosen = _likely(chosen, parent_key, _distinct_members(related, child_key), false_positives)
     return nest(chosen, related, parent_key, child_key, child_columns, keep_childless=False, **options)
