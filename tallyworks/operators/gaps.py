@@ -1,17 +1,23 @@
-"""Gaps between successive occurrences of a key, and their statistics."""
+"""Gaps between successive occurrences of a key, and their statistics.
+
+Rounds are put in order by range over (key, round), so a key with many rounds lies in many tasks. A task looks back within its
+own range; for its first row, the last row of the range before is carried over, from a table of one row per range.
+"""
 
 from __future__ import annotations
 
-import math
+from collections.abc import Iterator
 
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from tallyworks.operators.medians import exact_medians
-from tallyworks.session import cut_lineage
+from tallyworks.session import broadcast_if_small, cut_lineage
 
-#: Least width of the stretches a key's rounds are cut into.
-LEAST_STRETCH = 1_000_000
 #: Largest number of rows a single generator call makes.
 CHUNK = 1_000_000
 
@@ -22,28 +28,46 @@ def _seen(df: DataFrame, key: str, order: str) -> DataFrame:
     return cut_lineage(rounds.groupBy(key, order).agg(F.count("*").alias("_n")))
 
 
-def _first_gaps(seen: DataFrame, key: str, order: str, stretch: int | None) -> DataFrame:
-    """Gap of the first occurrence in every round of a key.
+def in_ranges(df: DataFrame, columns: list[str], rows: int | None = None) -> DataFrame:
+    """Rows dealt out by range and in order within it, about ``rows`` to a range, or as many ranges as shuffles have partitions."""
+    ranges = [] if rows is None else [max(1, -(-df.count() // rows))]
+    return df.repartitionByRange(*ranges, *columns).sortWithinPartitions(*columns)
+
+
+def _looked_back(seen: DataFrame, key: str, order: str, rows: int | None) -> DataFrame:
+    """Every round with the one before it in its range (``_before``, null for the first row) and the range (``_range``).
 
-    The distinct rounds of a key are cut into stretches of fixed width, which bounds what one
-    window partition can hold; by default the width is the root of the range of rounds, so that a
-    key has no more stretches than a stretch has rounds. Inside a stretch the gap is a plain lag;
-    the first round of a stretch looks back to the last one of the stretch before, and the very
-    first looks back to 0.
+    The first round of a key looks back to 0. Written once: a range may be drawn otherwise when it is asked for again.
     """
-    if stretch is None:
-        ends = seen.agg(F.min(order).alias("low"), F.max(order).alias("high")).first()
-        stretch = max(LEAST_STRETCH, math.isqrt(ends["high"] - ends["low"]) if ends["high"] is not None else 1)
-    # whole-number floor division: exact for negative rounds and beyond 2^53 as well
-    cut = (F.col(order) - F.pmod(F.col(order), F.lit(stretch).cast("bigint"))).alias("_stretch")
-    once = seen.select(key, order, cut)
-    inside = once.withColumn(
-        "gap", F.col(order) - F.lag(order).over(Window.partitionBy(key, "_stretch").orderBy(order))
-    ).filter(F.col("gap").isNotNull())
-    ends = once.groupBy(key, "_stretch").agg(F.min(order).alias(order), F.max(order).alias("_end"))
-    back = F.lag("_end", 1, 0).over(Window.partitionBy(key).orderBy("_stretch"))
-    across = ends.withColumn("gap", F.col(order) - back)
-    return inside.select(key, order, "gap").unionByName(across.select(key, order, "gap"))
+    schema = StructType([*seen.schema, StructField("_range", IntegerType()), StructField("_before", LongType())])
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, last = TaskContext.get().partitionId(), None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys, rounds = batch.column(batch.schema.get_field_index(key)), batch.column(batch.schema.get_field_index(order))
+            if last is None:
+                first = pa.scalar(None, pa.int64())
+            else:
+                first = last[1] if last[0] == keys[0] else pa.scalar(0, pa.int64())
+            earlier = pc.if_else(pc.equal(keys[1:], keys[:-1]), rounds[:-1], pa.scalar(0, pa.int64()))
+            before = pa.concat_arrays([pa.array([first.as_py()], pa.int64()), earlier])
+            last = keys[-1], rounds[-1]
+            columns = [*batch.columns, pa.array([number] * batch.num_rows, pa.int32()), before]
+            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "_range", "_before"])
+
+    return cut_lineage(in_ranges(seen, [key, order], rows).mapInArrow(look, schema))
+
+
+def _first_gaps(seen: DataFrame, key: str, order: str, rows: int | None) -> DataFrame:
+    """Gap of the first occurrence in every round of a key."""
+    looked = _looked_back(seen, key, order, rows)
+    ends = looked.groupBy("_range").agg(F.max(F.struct(key, order)).alias("_last"))
+    carried = ends.select("_range", F.lag("_last").over(Window.orderBy("_range")).alias("_carried"))
+    met = looked.join(broadcast_if_small(carried), "_range")
+    crossing = F.when(F.col(f"_carried.{key}") == F.col(key), F.col(f"_carried.{order}")).otherwise(F.lit(0))
+    return met.select(key, order, (F.col(order) - F.coalesce("_before", crossing)).alias("gap"))
 
 
 def _repeats(seen: DataFrame, key: str, order: str) -> DataFrame:
@@ -53,7 +77,10 @@ def _repeats(seen: DataFrame, key: str, order: str) -> DataFrame:
 
 
 def gap_counts(df: DataFrame, key: str, order: str, *, stretch: int | None = None) -> DataFrame:
-    """Gaps of the occurrences of a key with their number; ``order`` is an integer column."""
+    """Gaps of the occurrences of a key with their number; ``order`` is an integer column.
+
+    ``stretch`` is how many rounds a range should hold; by default a shuffle's partitions are filled.
+    """
     seen = _seen(df, key, order)
     first = _first_gaps(seen, key, order, stretch).withColumn("n", F.lit(1).cast("bigint"))
     return first.unionByName(_repeats(seen, key, order))
