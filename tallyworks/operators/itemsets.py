@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import DataFrame
@@ -31,6 +32,60 @@ def frequent_baskets(df: DataFrame, basket: str, item: str, min_support: int) ->
     return rows.groupBy(basket).agg(F.sort_array(F.collect_set(item)).alias("items"))
 
 
+def _pairs_in(baskets: DataFrame, basket: str) -> DataFrame:
+    """Every two items of a basket, as ``items``. One row per first item comes first, so a large basket makes no large row."""
+    firsts = baskets.select(basket, "items", F.posexplode("items").alias("_at", "_item"))
+    seconds = firsts.select(basket, "_item", F.explode(F.slice("items", F.col("_at") + 2, F.size("items"))).alias("_next"))
+    return seconds.select(basket, F.array("_item", "_next").alias("items"))
+
+
+def _extended(sets: DataFrame, on: Sequence[str], size: int) -> DataFrame:
+    """Sets of one item more, from two sets of ``size`` that differ in the last item only and agree in the columns ``on``."""
+    head, last = F.slice("items", 1, size - 1).alias("_head"), F.element_at("items", -1)
+    left = sets.select(*on, head, F.col("items").alias("_items"), last.alias("_last"))
+    right = sets.select(*on, head, last.alias("_next"))
+    met = left.join(right, [*on, "_head"]).where(F.col("_last") < F.col("_next"))
+    return met.select(*on, F.array_append("_items", F.col("_next")).alias("items"))
+
+
+def _candidates(frequent: DataFrame, size: int) -> DataFrame:
+    """Sets of one item more than the frequent ones of ``size``, all of whose parts of that size are frequent."""
+    longer = _extended(frequent, [], size)
+    if size == 1:
+        return longer
+    # the parts without the last or the last but one item are the two that were put together
+    others = [F.concat(F.slice("items", 1, i), F.slice("items", i + 2, size - i)) for i in range(size - 1)]
+    parts = longer.select("items", F.explode(F.array(*others)).alias("_part"))
+    known = parts.join(frequent.select(F.col("items").alias("_part")), "_part", "left_semi")
+    return known.groupBy("items").agg(F.count("*").alias("_n")).where(F.col("_n") == size - 1).select("items")
+
+
+def itemsets_up_to(baskets: DataFrame, basket: str, min_support: int, most: int) -> list[DataFrame]:
+    """Frequent sets of 1, 2, ... ``most`` items with their support, one table per size, until a size has none.
+
+    ``baskets`` holds every basket once with its sorted items. Candidates of the next size are joined from frequent sets
+    that share all but their last item; one with a part that is not frequent is dropped before anything is counted.
+    Sets found in a basket go on as rows of (basket, set), from which those of the next size come by a join on
+    basket and shared items, so no basket is ever held whole, and nothing larger than ``most`` is looked for.
+    """
+
+    def counted(found: DataFrame) -> DataFrame:
+        counts = found.groupBy("items").agg(F.count("*").alias("support"))
+        return cut_lineage(counts.where(F.col("support") >= min_support))
+
+    rows = baskets.select(basket, F.explode("items").alias("_item")).select(basket, F.array("_item").alias("items"))
+    levels = [counted(rows)]
+    while len(levels) < most and not levels[-1].isEmpty():
+        size = len(levels)
+        likely = broadcast_if_small(cut_lineage(_candidates(levels[-1], size)))
+        longer = _pairs_in(baskets, basket) if size == 1 else _extended(rows, [basket], size)
+        longer = longer.join(likely, "items", "left_semi")
+        levels.append(counted(longer))
+        if size + 1 < most:
+            rows = cut_lineage(longer.join(broadcast_if_small(levels[-1].select("items")), "items", "left_semi"))
+    return levels
+
+
 def frequent_itemsets(
     df: DataFrame,
     basket: str,
@@ -42,10 +97,15 @@ def frequent_itemsets(
 ) -> DataFrame:
     """Sets of items found together in at least ``min_support`` baskets, with their size as level.
 
-    Mining is Spark's own parallel FP-growth over baskets of frequent items, which prunes by
-    itself and needs no pass per level. The baskets are written once, since it reads them twice.
+    For stated ``sizes`` sets are found size by size up to the largest of them. Without a bound, mining is Spark's own
+    parallel FP-growth over baskets of frequent items, which prunes by itself and needs no pass per
+    level. The baskets are written once, since both read them more than once.
     """
     baskets = cut_lineage(frequent_baskets(df, basket, item, min_support))
+    if sizes is not None:
+        levels = itemsets_up_to(baskets, basket, min_support, max([*sizes, 0]))
+        found = [level.select("items", "support", F.lit(n).alias("level")) for n, level in enumerate(levels, 1)]
+        return reduce(DataFrame.unionByName, found).filter(F.col("level").isin(*sizes))
     count = baskets.count()
     # FP-growth rounds share * baskets up: half a basket less gives the number asked for
     share = (min_support - 0.5) / count if count else 1.0
@@ -54,7 +114,6 @@ def frequent_itemsets(
         return empty.select("items", F.lit(0).cast("bigint").alias("support"), F.lit(0).alias("level"))
     options = {"numPartitions": partitions} if partitions else {}
     model = FPGrowth(itemsCol="items", minSupport=share, minConfidence=1.0, **options).fit(baskets)
-    found = model.freqItemsets.select(
+    return model.freqItemsets.select(
         F.sort_array("items").alias("items"), F.col("freq").alias("support"), F.size("items").alias("level")
     )
-    return found.filter(F.col("level").isin(*sizes)) if sizes is not None else found

@@ -1,0 +1,39 @@
+"""Itemsets found size by size."""
+
+import itertools
+import random
+from collections import Counter
+
+import pytest
+
+from tallyworks.operators import itemsets
+
+
+def brute(baskets, least, most):
+    counts = Counter(s for items in baskets for k in range(1, most + 1) for s in itertools.combinations(sorted(items), k))
+    return {s: n for s, n in counts.items() if n >= least}
+
+
+@pytest.mark.parametrize("least, sizes", [(2, [1, 2, 3, 4]), (5, [4]), (3, [2, 5]), (9, [3]), (1000, [1, 2])])
+def test_against_all_subsets(spark, least, sizes):
+    rng = random.Random(least)
+    baskets = [set(rng.sample("abcdefghij", rng.randint(1, 7))) for _ in range(120)]
+    df = spark.createDataFrame([(t, i) for t, items in enumerate(baskets) for i in items] * 2, "t int, item string")
+    found = itemsets.frequent_itemsets(df, "t", "item", least, sizes=sizes)
+    expected = {s: n for s, n in brute(baskets, least, max(sizes)).items() if len(s) in sizes}
+    assert {tuple(r["items"]): r["support"] for r in found.collect()} == expected
+    assert all(r["level"] == len(r["items"]) for r in found.collect())
+
+
+def test_a_candidate_with_a_rare_part_is_not_counted(spark):
+    frequent = spark.createDataFrame([(["a", "b"],), (["a", "c"],), (["b", "c"],), (["a", "d"],), (["b", "e"],)], "items array<string>")
+    assert [r["items"] for r in itemsets._candidates(frequent, 2).collect()] == [["a", "b", "c"]]
+    longer = spark.createDataFrame([(list(s),) for s in itertools.combinations("abcd", 3)] + [(["a", "b", "e"],)], "items array<string>")
+    assert [r["items"] for r in itemsets._candidates(longer, 3).collect()] == [["a", "b", "c", "d"]]
+
+
+def test_nothing_beyond_the_bound_is_looked_for(spark):
+    baskets = spark.createDataFrame([(t, list("abcdef")) for t in range(4)], "t int, items array<string>")
+    levels = itemsets.itemsets_up_to(baskets, "t", 2, 3)
+    assert [level.count() for level in levels] == [6, 15, 20]
+    assert itemsets.itemsets_up_to(baskets, "t", 5, 3)[0].count() == 0
