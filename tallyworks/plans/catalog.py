@@ -7,13 +7,14 @@ segment and nation = location), ``events`` for their comments, ``documents``, ``
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyworks.functions.moments import format_moment, parse_moment
-from tallyworks.functions.text import unescape_html
+from tallyworks.functions.text import raw_tokens, unescape_html
 from tallyworks.operators import (
     bloom,
     counting,
@@ -229,8 +230,9 @@ def named_outputs(spark, sf_dir):
     path = scratch_path(spark, "named")
     events, stop = table(spark, sf_dir, "events"), table(spark, sf_dir, "benchmark")
     spans, words = summaries.min_max_and_words(events, "user_id", "ts", _event_text(), stop, "text")
-    sinks.write_named({"minmax": spans, "words": words}, path)
-    read = [spark.read.parquet(f"{path}/{name}").withColumn("result", F.lit(name)) for name in ("minmax", "words")]
+    results = {"minmax": spans, "words": words}
+    sinks.write_together(results, path)
+    read = [sinks.read_together(spark, path, name, df.columns).withColumn("result", F.lit(name)) for name, df in results.items()]
     return read[0].unionByName(read[1], allowMissingColumns=True)
 
 
@@ -307,6 +309,14 @@ def nested_xml(spark, sf_dir):
     return nested.select("conv_id", "part", element.alias("xml"))
 
 
+def nested_xml_parts(spark, sf_dir):
+    """The same in records of about a kilobyte of turns."""
+    turns = table(spark, sf_dir, "conversations")
+    nested = nesting.nest_by_role(turns, F.col("turn") == 0, "conv_id", "conv_id", ["turn", "text"], part_items=1024, part_bytes=1024)
+    element = attribute_rows.nested_element("post", ["conv_id", "text"], "children", "comments", ["turn", "text"])
+    return nested.select("conv_id", "part", element.alias("xml"))
+
+
 def _bloom_join(both_sides: bool) -> Query:
     def query(spark, sf_dir):
         customer = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
@@ -351,6 +361,23 @@ def sample_percent(spark, sf_dir):
     return filters.sample_percent(table(spark, sf_dir, "lineitem"), 10.0, seed=7)
 
 
+def sample_repeatable(spark, sf_dir):
+    """A sample by hash, held against its table: that its size is likely, that it only holds rows of the table and those of
+    the smaller sample, and that other tasks draw the same."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
+    drawn = filters.sample_repeatable(lines, 10.0, seed=7)
+    again = filters.sample_repeatable(lines.repartition(3), 10.0, seed=7)
+    fewer = filters.sample_repeatable(lines, 2.0, seed=7)
+
+    def size(df, name):
+        return df.groupBy().agg(F.count("*").alias(name))
+
+    sizes = [size(lines, "n"), size(drawn, "kept"), size(drawn.exceptAll(lines), "foreign"), size(fewer.exceptAll(drawn), "left_out"), size(drawn.exceptAll(again), "other")]
+    whole = functools.reduce(DataFrame.crossJoin, sizes)  # one row each
+    likely = F.abs(F.col("kept") - F.col("n") * 0.1) <= 5 * F.sqrt(F.col("n") * 0.09)
+    return whole.select("n", likely.alias("likely"), (F.col("foreign") + F.col("left_out") == 0).alias("subset"), (F.col("other") == 0).alias("same"))
+
+
 def _member_words(spark, sf_dir):
     """Words of the benchmark items in their own case."""
     items = table(spark, sf_dir, "benchmark")
@@ -368,10 +395,22 @@ def bloom_key_filter(spark, sf_dir):
     """The filter alone, held against the members: how many turns have one, that none is lost, that few others pass."""
     turns, labels = _turns(spark, sf_dir), _labels(spark, sf_dir).select("doc_id").distinct()
     marked = turns.join(labels, F.col("conv_id") == F.col("doc_id"), "left").withColumn("member", F.col("doc_id").isNotNull())
+    passed = bloom.bloom_filter_keys(marked, "conv_id", labels, "doc_id", BLOOM_RATE, exact=False)
+    return _bloom_flags(marked, passed)
+
+
+def bloom_key_filter_exact(spark, sf_dir):
+    """The same with the semi join behind the filter: no other turn passes."""
+    turns, labels = _turns(spark, sf_dir), _labels(spark, sf_dir).select("doc_id").distinct()
+    marked = turns.join(labels, F.col("conv_id") == F.col("doc_id"), "left").withColumn("member", F.col("doc_id").isNotNull())
     passed = bloom.bloom_filter_keys(marked, "conv_id", labels, "doc_id", BLOOM_RATE)
+    return _bloom_flags(marked, passed, rate=0.0)
+
+
+def _bloom_flags(marked: DataFrame, passed: DataFrame, rate: float = BLOOM_RATE) -> DataFrame:
     counts = passed.groupBy().agg(F.count_if("member").alias("n_members"), F.count_if(~F.col("member")).alias("others"))
     whole = marked.groupBy().agg(F.count_if("member").alias("n"), F.count_if(~F.col("member")).alias("rest"))
-    few = (F.col("others") <= 5 * BLOOM_RATE * F.col("rest")).alias("few_others")
+    few = (F.col("others") <= 5 * rate * F.col("rest")).alias("few_others")
     return counts.crossJoin(whole).select("n_members", (F.col("n_members") == F.col("n")).alias("none_lost"), few)  # one row each
 
 
@@ -391,6 +430,27 @@ def bloom_token_filter_raw(spark, sf_dir):
     return bloom.bloom_filter_tokens(documents, "text", spark.read.text(path), "value", BLOOM_RATE).select("doc_id")
 
 
+def bloom_token_flags(spark, sf_dir):
+    """The filter of a gzip list, written and read again: documents with a member, whether it loses none of them, and whether
+    few of the foreign words pass it."""
+    rate = BLOOM_RATE / 100
+    path = scratch_path(spark, "members")
+    _member_words(spark, sf_dir).write.option("compression", "gzip").text(path)
+    members = spark.read.text(path)
+    documents = _texts(spark, sf_dir, "documents", "doc_id", "text")
+    exact = bloom.bloom_filter_tokens(documents, "text", members, "value", rate, exact_on=["doc_id"])
+    passed = bloom.bloom_filter_tokens(documents, "text", members, "value", rate)
+    saved = scratch_path(spark, "bloom")
+    bloom.blocked_bloom(members, "value", members.count(), rate).write(saved)
+    words = documents.select(F.explode(raw_tokens("text")).alias("value")).distinct().join(members, "value", "left_anti")
+    foreign = bloom.read_bloom(spark, saved).keep(words, "value").groupBy().agg(F.count("*").alias("others"))
+    lost = exact.join(passed.select("doc_id"), "doc_id", "left_anti").groupBy().agg(F.count("*").alias("lost"))
+    counts = exact.groupBy().agg(F.count("*").alias("n_documents")).crossJoin(lost).crossJoin(foreign)
+    few = F.col("others") <= 5 * rate * F.col("rest") + 5
+    whole = counts.crossJoin(words.groupBy().agg(F.count("*").alias("rest")))  # one row each
+    return whole.select("n_documents", (F.col("lost") == 0).alias("none_lost"), few.alias("few_others"))
+
+
 def top10_records(spark, sf_dir):
     return topk.top_k(table(spark, sf_dir, "customer"), "c_acctbal", ["c_custkey"])
 
@@ -501,6 +561,14 @@ def corpus_term_weights(spark, sf_dir):
     return _rounded(index.term_weights(named, "document", "value"), "weight")
 
 
+def corpus_file_weights(spark, sf_dir):
+    """Term weights with one file per document: the texts of a language and source in one file each, read back."""
+    path = scratch_path(spark, "files")
+    texts = table(spark, sf_dir, "documents").select(F.concat_ws("-", "lang", "source").alias("name"), "text")
+    texts.repartition("name").write.partitionBy("name").text(path)
+    return _rounded(corpus.file_term_weights(spark, path), "weight")
+
+
 # -- itemsets ------------------------------------------------------------------------------------
 
 
@@ -584,6 +652,23 @@ def csv_roundtrip(spark, sf_dir):
     return delimited.read_delimited(spark, path, CUSTOMER_FIELDS)
 
 
+def category_count_csv(spark, sf_dir):
+    """Customers by segment, from delimited text in which some segments are empty and some rows end before theirs."""
+    path = scratch_path(spark, "cells")
+    segment = F.when(F.col("c_acctbal") < 0, F.lit(",")).when(F.col("c_custkey") % 7 == 0, F.lit("")).otherwise(F.concat(F.lit(","), F.col("c_mktsegment")))
+    lines = table(spark, sf_dir, "customer").select(F.concat(F.col("c_custkey").cast("string"), segment).alias("value"))
+    lines.write.text(path)
+    return counting.count_by(delimited.read_cells(spark, path, {"c_custkey": "bigint", "c_mktsegment": "string"}), "c_mktsegment")
+
+
+def bins_counted(spark, sf_dir):
+    """Posts written to a folder per bin; their numbers are metrics of that write."""
+    path = scratch_path(spark, "bins-counted")
+    names = [*BINS.values(), "license-post"]
+    found = sinks.write_counted(_binned(spark, sf_dir).select("bin", "doc_id"), path, {n: F.col("bin") == n for n in names}, bin_column="bin")
+    return spark.createDataFrame([(n, found[n]) for n in names if found[n]], "bin string, n bigint")
+
+
 def pair_lines(spark, sf_dir):
     """Word counts as tab-separated lines, written and read back."""
     path = scratch_path(spark, "pairs")
@@ -595,10 +680,10 @@ def pair_lines(spark, sf_dir):
 # -- generators ----------------------------------------------------------------------------------
 
 
-def _generated_comments(spark, sf_dir):
+def _generated_comments(spark, sf_dir, **options):
     """As many comments as there are events, with words of the benchmark items."""
     rows = table(spark, sf_dir, "events").count()
-    return synthetic.synthetic_comments(spark, rows, _member_words(spark, sf_dir), "member", seed=11)
+    return synthetic.synthetic_comments(spark, rows, _member_words(spark, sf_dir), "member", seed=11, **options)
 
 
 def _generated_users(spark, sf_dir):
@@ -628,6 +713,17 @@ def synthetic_comments(spark, sf_dir):
     )
 
 
+def synthetic_words_joined(spark, sf_dir):
+    """Comments whose words are joined by number: how many words all texts have, and how many rows differ from those made of a list."""
+    listed = _generated_comments(spark, sf_dir)
+    joined = _generated_comments(spark, sf_dir, join_words=True)
+    apart = listed.exceptAll(joined).groupBy().agg(F.count("*").alias("n_differ"))
+    words = joined.select(F.explode(F.split("Text", " ")).alias("member"))
+    known = words.join(_member_words(spark, sf_dir), "member", "left_semi").groupBy().agg(F.count("*").alias("known"))
+    found = joined.groupBy().agg(F.count("*").alias("n"), F.sum(F.size(F.split("Text", " "))).alias("words")).crossJoin(known).crossJoin(apart)
+    return found.select("n", (F.col("words") == F.col("known")).alias("all_known"), "n_differ")  # one row each
+
+
 def synthetic_users(spark, sf_dir):
     rows = _generated_users(spark, sf_dir)
     ok = (
@@ -671,6 +767,7 @@ QUERIES: dict[str, Query] = {
         gap_stats,
         gap_stats_users,
         category_count,
+        category_count_csv,
         class_count,
         word_count_by_state,
         word_count_by_state_bins,
@@ -682,6 +779,7 @@ QUERIES: dict[str, Query] = {
         nest_children_parts,
         nest_self,
         nested_xml,
+        nested_xml_parts,
         _bloom_join(False),
         _bloom_join(True),
         grep,
@@ -689,8 +787,11 @@ QUERIES: dict[str, Query] = {
         threshold,
         not_category,
         sample_percent,
+        sample_repeatable,
         bloom_build_probe_exact,
         bloom_key_filter,
+        bloom_key_filter_exact,
+        bloom_token_flags,
         bloom_token_filter,
         bloom_token_filter_raw,
         top10_records,
@@ -705,10 +806,12 @@ QUERIES: dict[str, Query] = {
         shuffle_rows,
         bins_by_tag,
         bin_counts,
+        bins_counted,
         bins_by_year,
         inverted_index,
         term_weights,
         corpus_term_weights,
+        corpus_file_weights,
         frequent_items,
         frequent_baskets,
         frequent_itemsets,
@@ -719,6 +822,7 @@ QUERIES: dict[str, Query] = {
         csv_roundtrip,
         pair_lines,
         synthetic_comments,
+        synthetic_words_joined,
         synthetic_users,
     )
 }

@@ -227,6 +227,25 @@ ORACLES: dict[str, str] = {
     "bloom_key_filter": f"""
         SELECT count(*) AS n_members, true AS none_lost, true AS few_others FROM {_TURNS}
         WHERE conv_id IN (SELECT doc_id FROM {_LABELS})""",
+    "bloom_key_filter_exact": f"""
+        SELECT count(*) AS n_members, true AS none_lost, true AS few_others FROM {_TURNS}
+        WHERE conv_id IN (SELECT doc_id FROM {_LABELS})""",
+    "bloom_token_flags": f"""
+        SELECT count(*) AS n_documents, true AS none_lost, true AS few_others FROM documents
+        WHERE doc_id IN (SELECT doc_id FROM {_RAW_TOKENS} WHERE token IN (SELECT member FROM {_MEMBERS}))""",
+    "sample_repeatable": "SELECT count(*) AS n, true AS likely, true AS subset, true AS same FROM lineitem",
+    "category_count_csv": """
+        SELECT CASE WHEN c_acctbal < 0 THEN '' WHEN c_custkey % 7 = 0 THEN NULL ELSE c_mktsegment END AS c_mktsegment, count(*) AS n
+        FROM customer GROUP BY 1""",
+    "nested_xml_parts": f"""
+        WITH c AS (SELECT *, 24 + strlen(text) AS cost FROM conversations WHERE turn <> 0),
+        placed AS (SELECT *, (sum(cost) OVER (PARTITION BY conv_id ORDER BY turn, text) - cost) // 1024 AS part FROM c),
+        inner_parts AS (SELECT conv_id, part, string_agg({_CHILD_XML}, '' ORDER BY turn, text) AS inside FROM placed GROUP BY conv_id, part)
+        SELECT p.conv_id, CAST(coalesce(part, 0) AS INTEGER) AS part, '<post conv_id="' || p.conv_id || '" text="' || {_escaped('p.text')} || '"' ||
+               CASE WHEN inside IS NULL THEN '/>' ELSE '>' || inside || '</post>' END AS xml
+        FROM conversations p LEFT JOIN inner_parts c ON p.conv_id = c.conv_id WHERE p.turn = 0""",
+    "corpus_file_weights": _term_weights("concat_ws('-', lang, source)"),
+    "synthetic_words_joined": "SELECT count(*) AS n, true AS all_known, 0 AS n_differ FROM events",
     "shuffle_rows": "SELECT * FROM events",
     "bins_by_tag": f"SELECT bin, doc_id FROM {_BINNED}",
     "bin_counts": f"SELECT bin, count(*) AS n FROM {_BINNED} GROUP BY bin",
@@ -257,6 +276,7 @@ ORACLES: dict[str, str] = {
 
 # results written to files and read back equal those they were written from
 ORACLES["word_count_by_state_bins"] = ORACLES["word_count_by_state"]
+ORACLES["bins_counted"] = ORACLES["bin_counts"]
 ORACLES["position_frequency_bins"] = ORACLES["position_frequency"]
 ORACLES["named_outputs"] = ORACLES["min_max_and_words"]
 ORACLES["itemset_level_bins"] = ORACLES["itemset_levels"]

@@ -26,3 +26,14 @@ def read_delimited(spark: SparkSession, path, fields: Mapping[str, str]) -> Data
             for name, kind in fields.items()
         ]
     )
+
+
+def read_cells(spark: SparkSession, path, fields: Mapping[str, str]) -> DataFrame:
+    """As ``read_delimited``, with an empty cell told apart from a missing one: it is the empty text, or null where its
+    type has no empty value. Only cells beyond the end of a short row are missing.
+    """
+    names = list(fields)
+    cells = spark.read.text(path).select(F.split("value", ",", -1).alias("_cells"))
+    data = cells.filter(F.get("_cells", F.lit(0)) != names[0])
+    values = [F.get("_cells", F.lit(i)) for i in range(len(names))]
+    return data.select(*[(v if kind == "string" else v.try_cast(kind)).alias(n) for v, (n, kind) in zip(values, fields.items(), strict=True)])

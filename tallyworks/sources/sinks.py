@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -28,6 +29,35 @@ def write_bins(df: DataFrame, path: str, bin_column: str, *, file_format: str =
     rows.write.mode("overwrite").partitionBy(bin_column).format(file_format).save(path)
 
 
+def write_counted(df: DataFrame, path: str, counters: Mapping[str, Column], *, bin_column: str | None = None, file_format: str = "parquet") -> dict[str, int]:
+    """Write rows, in bins if a column is named, and return how many meet each of the conditions.
+
+    The counters are metrics of the write itself: the rows are computed and read once.
+    """
+    seen = Observation()
+    rows = df.observe(seen, *[F.count_if(condition).alias(name) for name, condition in counters.items()])
+    if bin_column is None:
+        rows.write.mode("overwrite").format(file_format).save(path)
+    else:
+        write_bins(rows, path, bin_column, file_format=file_format)
+    return dict(seen.get)
+
+
+def write_together(results: Mapping[str, DataFrame], path: str) -> None:
+    """Several results in one write job, so that all are there or none; ``read_together`` reads one by its name.
+
+    Columns of one name must have one type in all results.
+    """
+    tagged = [df.withColumn("_result", F.lit(name)) for name, df in results.items()]
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
+    rows.write.mode("overwrite").partitionBy("_result").parquet(path)
+
+
+def read_together(spark: SparkSession, path: str, name: str, columns: Sequence[str]) -> DataFrame:
+    """The rows of one result of ``write_together``."""
+    return spark.read.parquet(path).where(F.col("_result") == name).select(*columns)
+
+
 def write_named(results: Mapping[str, DataFrame], path: str, *, file_format: str = "parquet") -> None:
     """Several results below one folder, each under its name."""
     for name, df in results.items():
