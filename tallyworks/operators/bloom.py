@@ -165,7 +165,8 @@ class BloomFilter:
             return pa.array(upto[offsets[1:]] > upto[offsets[:-1]])
 
         pairs = F.flatten(F.transform(values, lambda v: F.array(*_place(v, blocks))))
-        return probe(F.coalesce(pairs, F.array().cast("array<bigint>")))
+        # taken for random, lest the filter is moved to a scan of few tasks, ahead of where its rows are dealt out
+        return probe.asNondeterministic()(F.coalesce(pairs, F.array().cast("array<bigint>")))
 
     def may_contain(self, value: str | Column) -> Column:
         column = F.col(value) if isinstance(value, str) else value
@@ -218,7 +219,7 @@ def _any_of(members: DataFrame, member: str, tokens: Column) -> Column:
         upto = np.concatenate(([0], np.cumsum(hit)))
         return pa.array(upto[offsets[1:]] > upto[offsets[:-1]])
 
-    return probe(tokens)
+    return probe.asNondeterministic()(tokens)
 
 
 def bloom_filter_tokens(

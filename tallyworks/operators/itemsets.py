@@ -32,27 +32,27 @@ def frequent_baskets(df: DataFrame, basket: str, item: str, min_support: int) ->
     return rows.groupBy(basket).agg(F.sort_array(F.collect_set(item)).alias("items"))
 
 
-def _pairs_in(baskets: DataFrame, basket: str) -> DataFrame:
-    """Every two items of a basket, as ``items``. One row per first item comes first, so a large basket makes no large row."""
-    firsts = baskets.select(basket, "items", F.posexplode("items").alias("_at", "_item"))
-    seconds = firsts.select(basket, "_item", F.explode(F.slice("items", F.col("_at") + 2, F.size("items"))).alias("_next"))
-    return seconds.select(basket, F.array("_item", "_next").alias("items"))
+def _longer_in(sets: DataFrame, basket: str) -> DataFrame:
+    """Sets of one item more in the same basket: each item behind the last of a set is added to it, in the order of the basket.
+
+    ``rest`` holds the items behind the last one, so a set is found once, and without looking at other rows.
+    """
+    each = sets.select(basket, "items", "rest", F.posexplode("rest").alias("_at", "_next"))
+    return each.select(basket, F.array_append("items", F.col("_next")).alias("items"), F.slice("rest", F.col("_at") + 2, F.size("rest")).alias("rest"))
 
 
-def _extended(sets: DataFrame, on: Sequence[str], size: int) -> DataFrame:
-    """Sets of one item more, from two sets of ``size`` that differ in the last item only and agree in the columns ``on``."""
+def _extended(frequent: DataFrame, size: int) -> DataFrame:
+    """Sets of one item more, from two sets of ``size`` that differ in the last item only."""
     head, last = F.slice("items", 1, size - 1).alias("_head"), F.element_at("items", -1)
-    left = sets.select(*on, head, F.col("items").alias("_items"), last.alias("_last"))
-    right = sets.select(*on, head, last.alias("_next"))
-    met = left.join(right, [*on, "_head"]).where(F.col("_last") < F.col("_next"))
-    return met.select(*on, F.array_append("_items", F.col("_next")).alias("items"))
+    left = frequent.select(head, F.col("items").alias("_items"), last.alias("_last"))
+    right = frequent.select(head, last.alias("_next"))
+    met = left.join(right, "_head").where(F.col("_last") < F.col("_next"))
+    return met.select(F.array_append("_items", F.col("_next")).alias("items"))
 
 
 def _candidates(frequent: DataFrame, size: int) -> DataFrame:
     """Sets of one item more than the frequent ones of ``size``, all of whose parts of that size are frequent."""
-    longer = _extended(frequent, [], size)
-    if size == 1:
-        return longer
+    longer = _extended(frequent, size)
     # the parts without the last or the last but one item are the two that were put together
     others = [F.concat(F.slice("items", 1, i), F.slice("items", i + 2, size - i)) for i in range(size - 1)]
     parts = longer.select("items", F.explode(F.array(*others)).alias("_part"))
@@ -63,26 +63,31 @@ def _candidates(frequent: DataFrame, size: int) -> DataFrame:
 def itemsets_up_to(baskets: DataFrame, basket: str, min_support: int, most: int) -> list[DataFrame]:
     """Frequent sets of 1, 2, ... ``most`` items with their support, one table per size, until a size has none.
 
-    ``baskets`` holds every basket once with its sorted items. Candidates of the next size are joined from frequent sets
-    that share all but their last item; one with a part that is not frequent is dropped before anything is counted.
-    Sets found in a basket go on as rows of (basket, set), from which those of the next size come by a join on
-    basket and shared items, so no basket is ever held whole, and nothing larger than ``most`` is looked for.
+    ``baskets`` holds every basket once with its sorted items, each of them frequent. Candidates of the next size are joined from
+    frequent sets that share all but their last item; one with a part that is not frequent is dropped before anything is counted.
+    The sets of a basket are made longer item by item, only as far as they are candidates, so nothing but counts is shuffled,
+    and nothing larger than ``most`` is looked for.
     """
 
     def counted(found: DataFrame) -> DataFrame:
         counts = found.groupBy("items").agg(F.count("*").alias("support"))
-        return cut_lineage(counts.where(F.col("support") >= min_support))
+        return counts.where(F.col("support") >= min_support)
 
-    rows = baskets.select(basket, F.explode("items").alias("_item")).select(basket, F.array("_item").alias("items"))
+    empty = F.slice("items", 1, 0)
+    rows = _longer_in(baskets.select(basket, empty.alias("items"), F.col("items").alias("rest")), basket)
     levels = [counted(rows)]
-    while len(levels) < most and not levels[-1].isEmpty():
+    while len(levels) < most:
         size = len(levels)
-        likely = broadcast_if_small(cut_lineage(_candidates(levels[-1], size)))
-        longer = _pairs_in(baskets, basket) if size == 1 else _extended(rows, [basket], size)
-        longer = longer.join(likely, "items", "left_semi")
-        levels.append(counted(longer))
-        if size + 1 < most:
-            rows = cut_lineage(longer.join(broadcast_if_small(levels[-1].select("items")), "items", "left_semi"))
+        rows = _longer_in(rows, basket)
+        if size > 1:  # any two items are a candidate
+            levels[-1] = cut_lineage(levels[-1])
+            likely = cut_lineage(_candidates(levels[-1], size))
+            if likely.isEmpty():
+                break
+            rows = rows.join(broadcast_if_small(likely), "items", "left_semi")
+            if size > 2:
+                rows = cut_lineage(rows)
+        levels.append(counted(rows))
     return levels
 
 

@@ -51,10 +51,10 @@ def _gathered(
         items = F.sort_array(F.collect_list("_item")).alias(out)
         return group.groupBy(*keys).agg(items).withColumn("part", F.lit(0)).select(columns)
 
-    large = cut_lineage(large)
     if large.isEmpty():
         return collected(rows), None, None
 
+    large = cut_lineage(large)
     known = broadcast_if_small(large)
     copies = rows.join(known, list(keys), "left_semi").groupBy(*keys, "_item").agg(F.count("*").alias("_copies")).withColumn("_cost", cost)
     # written, for a range may be drawn otherwise when it is asked for again
@@ -64,7 +64,7 @@ def _gathered(
     before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = ranged.groupBy(*keys, "_range").agg(F.sum(run).alias("_sum"))
     offsets = offsets.select(*keys, "_range", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_offset"))
-    placed = ranged.withColumn("_start", F.sum(run).over(in_range) - run).join(broadcast_if_small(offsets), [*keys, "_range"])
+    placed = ranged.withColumn("_start", F.sum(run).over(in_range) - run).join(offsets, [*keys, "_range"])
     placed = placed.withColumn("_start", F.col("_start") + F.col("_offset"))
     parts = F.sequence(F.expr(f"_start div {whole}"), F.expr(f"(_start + _cost * (_copies - 1)) div {whole}"))
     lots = placed.withColumn("_part", F.explode(parts))
@@ -115,7 +115,7 @@ def nest(
     Parents must be unique by key, unless ``order`` states which of several counts: the last. A parent with more children than
     a record holds (see ``gather``) takes several records, numbered by ``part``. Children are gathered first, by the key
     the parents are joined on, and a parent meets whole records, not each child. Those of the large parents are joined by
-    themselves, where the parents are few enough to be sent or the records of one can be split over tasks.
+    themselves, in an inner join, where the records of one can be split over tasks.
     """
     rows = one_per_key(parents, parent_key, order) if order is not None else without_nulls(parents, parent_key)
     items = children.select(F.col(child_key).alias("_parent"), F.struct(*[F.col(c) for c in child_columns]).alias("_child"))
@@ -131,8 +131,8 @@ def nest(
         return joined(rows, small, how)
     known = broadcast_if_small(large.withColumnRenamed("_parent", "_large"))
     is_large = F.col(parent_key) == F.col("_large")
-    few = broadcast_if_small(rows.join(known, is_large, "left_semi"))
-    return joined(rows.join(known, is_large, "left_anti"), small, how).unionByName(joined(few, dealt, "inner"))
+    few, others = rows.join(known, is_large, "left_semi"), rows.join(known, is_large, "left_anti")
+    return joined(others, small, how).unionByName(joined(few, dealt, "inner"))
 
 
 def nest_by_role(
