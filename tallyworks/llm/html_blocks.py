@@ -13,7 +13,6 @@ A part whose name marks it as no article text is dropped, unless it holds most o
 
 from __future__ import annotations
 
-import os
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -71,23 +70,24 @@ class _Lines(HTMLParser):
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[list[tuple[str, int, bool]], bool, tuple[int, ...]]] = []  # pieces, in an article, containers
+        self.lines: list[tuple[list[tuple[str, int, bool]], bool, int]] = []  # pieces, in an article, container
         self.held: list[tuple[str, int, bool]] = []  # text, part, in a link
-        self.open: list[tuple[str, bool, int, tuple[int, ...]]] = []  # tag, whether it drops its content, part and containers around it
-        self.dropping = self.articles = self.part = self.containers = 0
-        self.path: tuple[int, ...] = ()
+        self.open: list[tuple[str, bool, int, int]] = []  # tag, whether it drops its content, part and container around it
+        self.dropping = self.articles = self.part = 0
+        self.container = 0
+        self.outer, self.last = [0], [0]  # by container, numbered as they open: the one around it, and the last one opened in it
         self.link = False
         self.around, self.plain, self.never = [0], [0], [False]  # by part: the one around it, length of text outside links, name in NEVER
 
     def end_line(self) -> None:
         if self.held:
-            self.lines.append((self.held, self.articles > 0, self.path))
+            self.lines.append((self.held, self.articles > 0, self.container))
             self.held = []
         self.link = False
 
     def gap(self, part: int) -> None:
         if not self.dropping:
-            self.lines.append(([("", part, False)], self.articles > 0, self.path))
+            self.lines.append(([("", part, False)], self.articles > 0, self.container))
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in BLOCKS:
@@ -100,7 +100,7 @@ class _Lines(HTMLParser):
         hidden = any(k in ("hidden",) or k == "aria-hidden" and v == "true" for k, v in attrs)
         inside = self.articles and tag in ("header", "h1", "h2", "h3", "h4", "h5", "h6")
         drops = tag in DROPPED or tag == "header" and not self.articles or hidden
-        self.open.append((tag, drops, self.part, self.path))
+        self.open.append((tag, drops, self.part, self.container))
         self.dropping += drops
         if named and not self.dropping and not inside and tag not in ("html", "body", "article", "main") and CHROME.search(MODIFIER.sub(" ", named)):
             self.around.append(self.part)
@@ -110,11 +110,26 @@ class _Lines(HTMLParser):
         if tag in CONTAINERS:
             self.gap(self.part)
             if tag != "body":
-                self.containers += 1
-                self.path = (*self.path, self.containers)
+                self.outer.append(self.container)
+                self.container = len(self.last)
+                self.last.append(self.container)
         self.articles += tag in ("article", "main")
         self.link = self.link or tag == "a" and any(k == "href" for k, _ in attrs)
 
+    def leave(self, container: int) -> None:
+        """Close the open containers inside one."""
+        while self.container != container:
+            self.last[self.container] = len(self.last) - 1
+            self.container = self.outer[self.container]
+
+    def parse_marked_section(self, i: int, report: int = 1) -> int:
+        """Sections of unknown name, at which the parser gives up, are comments up to the next ``>``, or to the end of the page."""
+        try:
+            return super().parse_marked_section(i, report)
+        except AssertionError:
+            end = self.rawdata.find(">", i)
+            return end + 1 if end >= 0 else len(self.rawdata)
+
     def _close(self, tag: str) -> None:
         """Close the innermost open element of that name, and those opened in it; block edges stop the search for inline ones."""
         for at in range(len(self.open) - 1, -1, -1):
@@ -122,7 +137,8 @@ class _Lines(HTMLParser):
                 for name, drops, _, _ in self.open[at:]:
                     self.dropping -= drops
                     self.articles -= name in ("article", "main")
-                self.part, self.path = self.open[at][2:]
+                self.part, container = self.open[at][2:]
+                self.leave(container)
                 del self.open[at:]
                 return
             if tag not in CONTAINERS and tag not in DROPPED and self.open[at][0] in CONTAINERS:
@@ -164,7 +180,9 @@ class Lines:
 
     texts: list[str]
     linked: np.ndarray  #: length of text in links
-    paths: list[tuple[int, ...]]  #: containers around the line, outermost first
+    containers: list[int]  #: innermost container of the line, 0 for the page
+    outer: list[int]  #: by container, the one around it
+    last: list[int]  #: by container, the last one opened in it
     named: bool  #: whether they are those of an article the page names itself
 
 
@@ -173,34 +191,34 @@ def lines_of(page: str) -> Lines:
     parser.feed(page)
     parser.close()
     parser.end_line()
+    parser.leave(0)
+    parser.last[0] = len(parser.last) - 1
     shown = parser.shown()
-    texts, linked, inside, paths = [], [], [], []
-    for pieces, in_article, path in parser.lines:
+    texts, linked, inside, containers = [], [], [], []
+    for pieces, in_article, container in parser.lines:
         left = [(data, link) for data, part, link in pieces if shown[part]]
         text = _FOLD.sub(" ", "".join([data for data, _ in left])).strip()
         if text or len(left) == 1 and not left[0][0]:
             texts.append(text)
             linked.append(sum(len(data.strip()) for data, link in left if link))
             inside.append(in_article)
-            paths.append(path)
+            containers.append(container)
     named = any(text and within for text, within in zip(texts, inside, strict=True))
     if named:
         texts = [text if within else "" for text, within in zip(texts, inside, strict=True)]
-    return Lines(texts, np.array(linked, np.int64), paths, named)
+    return Lines(texts, np.array(linked, np.int64), containers, parser.outer, parser.last, named)
 
 
 def text_stretches(lengths: np.ndarray, window: int = WINDOW, surge: int = SURGE) -> list[tuple[int, int]]:
     """Stretches of lines from a surge of the windowed length to its dive to nothing."""
     total = np.concatenate([[0], np.cumsum(lengths)])
     ahead = total[np.minimum(np.arange(len(lengths)) + window, len(lengths))] - total[:-1]
+    surges, dives = np.flatnonzero((lengths > 0) & (ahead >= surge)), np.append(np.flatnonzero(ahead == 0), len(lengths))
     stretches, at = [], 0
-    while at < len(lengths):
-        if lengths[at] and ahead[at] >= surge:
-            dive = np.flatnonzero(ahead[at:] == 0)
-            end = at + int(dive[0]) if len(dive) else len(lengths)
-            stretches.append((at, end))
-            at = end
-        at += 1
+    for begin in surges.tolist():
+        if begin >= at:
+            at = int(dives[np.searchsorted(dives, begin)])
+            stretches.append((begin, at))
     return stretches
 
 
@@ -212,9 +230,11 @@ def _article(lines: Lines, lengths: np.ndarray, stretches: list[tuple[int, int]]
     most = max(range(len(stretches)), key=lambda k: (plain[k], all_of[k]))
     prose = [k for k in range(len(stretches)) if k == most or 2 * plain[k] > all_of[k]]
     kept = [k for k in prose if average[k] >= DENSE * average[most]]
-    around = [lines.paths[i] for k in kept for i in range(*stretches[k]) if lengths[i]]
-    shared = os.path.commonprefix(around)
-    kept += [k for k in prose if shared and lines.paths[stretches[k][0]][: len(shared)] == shared]
+    held = [lines.containers[i] for k in kept for i in range(*stretches[k]) if lengths[i]]
+    shared, highest = min(held), max(held)  # containers are numbered as they open: one holds all up to the last opened in it
+    while lines.last[shared] < highest:
+        shared = lines.outer[shared]
+    kept += [k for k in prose if shared and shared <= lines.containers[stretches[k][0]] <= lines.last[shared]]
     return stretches[min(kept)][0], stretches[max(kept)][1]
 
 

@@ -47,7 +47,8 @@ INSULTS = frozenset(
 SECOND_PERSON = frozenset("you your yours yourself u ur du dich dir dein deine euch ihr sie tu te toi ton tes vous votre vos tú usted ustedes vosotros".split())
 
 _WORD = re.compile(r"[^\W_]+")
-_OBFUSCATED = re.compile(r"[^\W\d_]+(?:[0-9@$*!]+[^\W\d_]+)+")
+#: Begins with a whole run of letters: from inside a run nothing else would be found, but every letter of a long one be tried.
+_OBFUSCATED = re.compile(r"(?<![^\W\d_])[^\W\d_]+(?:[0-9@$*!]+[^\W\d_]+)+")
 _PLAIN = str.maketrans("0134578@$!", "oieastbasi", "*")
 #: What ``known`` holds for a word of the second person.
 _PERSON = -1.0

@@ -14,7 +14,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyworks.session import cut_lineage
+from tallyworks.session import broadcast_if_small, cut_lineage
 
 #: Labelled URLs that are learned from, at most; also the bound of the suffix statistics that are broadcast.
 SAMPLE_ROWS = 10_000
@@ -108,7 +108,7 @@ def with_lexical(urls: DataFrame) -> DataFrame:
 class Model:
     trees: GBTClassificationModel | None
     suffixes: DataFrame  # suffix, n, share
-    share: float  # of blocked URLs in the sample
+    share: float  # of blocked ones among the labelled URLs
 
 
 def _suffix(labels: int) -> Column:
@@ -119,25 +119,28 @@ def _featured(urls: DataFrame, model: Model) -> DataFrame:
     table = with_lexical(urls)
     for labels, name in ((1, "last"), (2, "last_two")):
         known = model.suffixes.select(F.col("suffix").alias(f"{name}_suffix"), F.col("n").alias(f"{name}_count"), F.col("share").alias(f"{name}_share"))
-        # at most two suffixes for each row of the bounded sample
-        table = table.join(F.broadcast(known), _suffix(labels) == F.col(f"{name}_suffix"), "left").fillna({f"{name}_count": 0.0, f"{name}_share": model.share})
+        table = table.join(known, _suffix(labels) == F.col(f"{name}_suffix"), "left").fillna({f"{name}_count": 0.0, f"{name}_share": model.share})
     return VectorAssembler(inputCols=FEATURES, outputCol="features").transform(table)
 
 
 def train(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
-    """A model from rows (url, blocked 0 or 1), of which at most ``sample_rows`` are taken, by hash of the url.
+    """A model from rows (url, blocked 0 or 1). Every different URL counts once, however often it stands there.
 
-    Without rows of both kinds there are no trees and the share of blocked URLs alone decides.
+    The suffix statistics cover all labelled URLs; of these at most ``sample_rows``, taken by hash of the url, are what the trees
+    learn from. Without URLs of both kinds there are no trees and the share of blocked URLs alone decides.
     """
     usable = labelled.where(F.col("url").isNotNull() & F.col("blocked").isin(0, 1)).select("url", F.col("blocked").cast("double").alias("label"))
-    sample = cut_lineage(usable.orderBy(F.xxhash64("url"), "url", "label").limit(sample_rows))
-    seen = sample.agg(F.count("*").alias("n"), F.avg("label").alias("share")).first()
+    urls = cut_lineage(usable.distinct())
+    sample = cut_lineage(urls.orderBy(F.xxhash64("url"), "url", "label").limit(sample_rows))
+    seen = urls.agg(F.count("*").alias("n"), F.avg("label").alias("share")).first()
     share = seen["share"] or 0.0
-    hosts = sample.withColumn("host", host_of(F.col("url")))
+    mixed = 0 < (sample.agg(F.avg("label")).first()[0] or 0.0) < 1
+    hosts = urls.withColumn("host", host_of(F.col("url")))
     suffixes = hosts.select("label", F.explode(F.array_distinct(F.array(_suffix(1), _suffix(2)))).alias("suffix")).groupBy("suffix")
     smoothed = (F.sum("label") + SMOOTHING * share) / (F.count("*") + SMOOTHING)
-    model = Model(None, cut_lineage(suffixes.agg(F.count("*").cast("double").alias("n"), smoothed.alias("share"))), share)
-    if 0 < share < 1:
+    known = cut_lineage(suffixes.agg(F.count("*").cast("double").alias("n"), smoothed.alias("share")))
+    model = Model(None, broadcast_if_small(known), share)
+    if mixed:
         ready = cut_lineage(_featured(sample, model).select("features", "label"))
         model.trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=1).fit(ready)
     return model
