@@ -11,8 +11,8 @@ Two things keep the graph small, and neither changes a count that matters:
 - Pairs of neighbouring words are first counted in a table of fixed size, by hash. A pair whose place in the table stays
   below the least count is rarer than that for certain, so no phrase that counts spans it, and the piece is cut there. Other
   pairs that share a place only cost rows.
-- Paths without a branch are compacted: where a longer phrase takes ``ABSORBED`` per cent of a phrase's flow or more, all of
-  it in a path that does not branch, only the longer one is returned.
+- Paths are compacted before anything is scored: a phrase that passes ``ABSORBED`` per cent of its flow or more on to one phrase
+  a word longer, all of it where the path has no branch, is folded into that one and looked at no further.
 
 Each step of the flow is one aggregation by the words before the last, with sums made before the shuffle, so a frequent
 word or pair never brings its edges to one task.
@@ -206,7 +206,13 @@ def rank_phrases(counts: DataFrame, top: int = TOP, least: int = LEAST, absorbed
     size = F.size(F.split("gram", " "))
     phrases = counts.where(F.col("gram").contains(" ") & (F.col("n") >= least)).select("lang", F.col("gram").alias("phrase"), F.col("n").alias("a"), size.alias("size"))
 
-    cuts = phrases.select("*", F.explode(F.sequence(F.lit(1), F.col("size") - 1)).alias("cut"))
+    # a phrase lies in one two words longer only by way of one that is one word longer and at least as frequent
+    shorter = F.array(F.expr("substring_index(phrase, ' ', size - 1)"), F.expr("substring_index(phrase, ' ', 1 - size)"))
+    heaviest = phrases.where("size > 2").select("lang", F.explode(shorter).alias("phrase"), "a").groupBy("lang", "phrase").agg(F.max("a").alias("longer"))
+    left = phrases.join(heaviest, ["lang", "phrase"], "left")
+    left = left.where(F.col("longer").isNull() | (_wide(F.col("longer")) * 100 < _wide(F.col("a")) * absorbed)).drop("longer")
+
+    cuts = left.select("*", F.explode(F.sequence(F.lit(1), F.col("size") - 1)).alias("cut"))
     cuts = cuts.select("*", F.expr("substring_index(phrase, ' ', cut)").alias("left"), F.expr("substring_index(phrase, ' ', cut - size)").alias("right"))
     lefts = counts.select("lang", F.col("gram").alias("left"), F.col("n").alias("l"))
     rights = counts.select("lang", F.col("gram").alias("right"), F.col("n").alias("r"))
@@ -214,14 +220,8 @@ def rank_phrases(counts: DataFrame, top: int = TOP, least: int = LEAST, absorbed
     score = F.expr(f"cast({SCALE} as decimal(7,0)) * cast(a as decimal(19,0)) div (cast(l as decimal(19,0)) + cast(r as decimal(19,0)))")
     scored = met.groupBy("lang", "phrase", "a").agg(F.min(F.struct(score.alias("score"), "cut", "l", "r")).alias("best"))
 
-    # a phrase lies in one two words longer only by way of one that is one word longer and at least as frequent
-    shorter = F.array(F.expr("substring_index(phrase, ' ', size - 1)"), F.expr("substring_index(phrase, ' ', 1 - size)"))
-    heaviest = phrases.where("size > 2").select("lang", F.explode(shorter).alias("phrase"), "a").groupBy("lang", "phrase").agg(F.max("a").alias("longer"))
-    left = scored.join(heaviest, ["lang", "phrase"], "left")
-    left = left.where(F.col("longer").isNull() | (_wide(F.col("longer")) * 100 < _wide(F.col("a")) * absorbed))
-
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
-    rows = left.select("lang", "phrase", "a", "best.l", "best.r", "best.score", F.pmod(F.xxhash64("phrase"), F.lit(LOTS)).alias("lot"))
+    rows = scored.select("lang", "phrase", "a", "best.l", "best.r", "best.score", F.pmod(F.xxhash64("phrase"), F.lit(LOTS)).alias("lot"))
     first = rows.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "lot").orderBy(*order))).where(F.col("rank") <= top)
     ranked = first.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long")).where(F.col("rank") <= top)
     totals = counts.where("gram = ''").select("lang", "n")
