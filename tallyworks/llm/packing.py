@@ -1,7 +1,8 @@
 """Packing: token ids of all documents into windows of fixed size, best fit decreasing.
 
 A document is its token ids and one closing id. One longer than a window is first cut into full windows; what is left of
-it is a piece. Pieces are dealt by hash of the document into groups of about ``group_pieces``, and every group is packed
+it is a piece. Full windows are sequences as they are, whatever their number. Pieces, no more than there are documents, are dealt
+by hash of their place in the table into groups of about ``group_pieces``, and every group is packed
 on its own: longest first, each into the open window with the least room that still holds it. A segment tree over the
 remaining capacities finds that window. Groups are what makes the work spread: a group is bounded however large the
 table is, and at some ten thousand pieces a group its one last open window does not count.
@@ -17,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,6 +26,8 @@ WINDOW = 2048
 END_ID = 1
 #: Pieces packed together by one task.
 GROUP_PIECES = 16_384
+#: Bits of a piece's number that count within a task.
+TASK_BITS = 33
 
 _encoders: dict[str, Encoder] = {}
 
@@ -122,25 +126,32 @@ def best_fit_decreasing(lengths: np.ndarray, window: int = WINDOW) -> tuple[np.n
 
 
 def cut_pieces(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
-    """Pieces of at most ``window`` ids: doc_id, start, length, ids_crc32, doc_tokens (and ids, if asked for).
+    """Pieces of at most ``window`` ids: doc_id, start, length, ids_crc32, doc_tokens (and ids, if asked for), and ``piece``,
+    a number that no other piece has: the task's, shifted by ``TASK_BITS``, and a count within it.
 
     The tokenizer file is read by every worker, so its path must lead to it on all machines.
     """
-    schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long" + ", ids array<int>" * with_ids
+    columns = ["known_id", "start", "length", "ids_crc32", "doc_tokens", "piece", "has_id"] + ["ids"] * with_ids
+    schema = "known_id long, start long, length long, ids_crc32 long, doc_tokens long, piece long, has_id boolean" + ", ids array<int>" * with_ids
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        code = encoder(tokenizer_path)
+        code, number = encoder(tokenizer_path), TaskContext.get().partitionId() << TASK_BITS
         for frame in frames:
             rows = []
-            for doc_id, text in zip(frame["doc_id"], frame["text"], strict=True):
+            for known_id, has_id, text in zip(frame["known_id"], frame["has_id"], frame["text"], strict=True):
                 ids = np.append(code.encode(text), np.array(end_id, "<u4"))
                 for start in range(0, len(ids), window):
                     piece = ids[start : start + window]
-                    row = (doc_id, start, len(piece), zlib.crc32(piece.tobytes()), len(ids))
+                    row = (known_id, start, len(piece), zlib.crc32(piece.tobytes()), len(ids), number, has_id)
                     rows.append((*row, piece.astype(np.int32)) if with_ids else row)
-            yield pd.DataFrame(rows, columns=[c.split()[0] for c in schema.split(", ")])
+                    number += 1
+            yield pd.DataFrame(rows, columns=columns)
 
-    return docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInPandas(cut, schema)
+    # a null among whole numbers would make them floating-point in Python
+    doc_id = F.col("doc_id").cast("long")
+    texts = docs.select(F.coalesce(doc_id, F.lit(0)).alias("known_id"), doc_id.isNotNull().alias("has_id"), F.col("text").cast("string").alias("text"))
+    pieces = texts.mapInPandas(cut, schema)
+    return pieces.select(F.when(F.col("has_id"), F.col("known_id")).alias("doc_id"), *columns[1:5], "piece", *columns[7:])
 
 
 def pack(
@@ -153,25 +164,33 @@ def pack(
 ) -> DataFrame:
     """All documents (doc_id, text) as pieces placed in sequences of at most ``window`` ids.
 
-    Returns the columns of ``cut_pieces`` with sequence_id and offset. Within a sequence the pieces lie gapless
-    from 0. A null text is empty: it gives one piece with the closing id alone. Rows without doc_id are left out;
+    Returns the columns of ``cut_pieces`` but ``piece``, with sequence_id and offset. Within a sequence the pieces lie gapless
+    from 0. A null text is empty: it gives one piece with the closing id alone. Rows without doc_id are packed like any other;
     repeated rows are packed as often as they occur. Only doc_id and text are read, other columns may have any name.
-    An empty table gives no pieces. Which group a piece joins depends on its document and start alone, and in a group
-    order is by length, document and start, so a task that is run again makes the same sequences.
+    An empty table gives no pieces. Which group a piece joins depends on its place in the table alone, so copies spread, and in
+    a group order is by length, document and start, so a task that is run again makes the same sequences.
     """
     pieces = cut_pieces(docs, tokenizer_path, window, end_id, with_ids)
     rows = docs.count()
     groups = max(1, -(-rows // group_pieces))
-    placed_schema = pieces.schema.simpleString()[len("struct<") : -1].replace(":", " ").replace(",", ", ") + ", sequence_id long, offset long"
+    columns = [c for c in pieces.columns if c not in ("doc_id", "piece")]
+    id_columns = [F.coalesce("doc_id", F.lit(0)).alias("known_id"), F.col("doc_id").isNotNull().alias("has_id")]
+    # full windows pass in lots, by their number in the task
+    full = F.col("length") == window
+    group = F.when(full, groups + F.expr(f"piece div {group_pieces}")).otherwise(F.pmod(F.xxhash64("piece"), F.lit(groups)))
+    dealt = pieces.select(*id_columns, *columns, "piece", group.alias("pack_group"))
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in dealt.schema if f.name not in ("piece", "pack_group"))
 
     def place(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["length", "doc_id", "start", "ids_crc32"], ascending=[False, True, True, True], kind="stable")
+        group, piece = frame.pop("pack_group"), frame["piece"]
+        if group.iloc[0] >= groups:
+            return frame.assign(sequence_id=2 * piece + 1, offset=0).drop(columns="piece")
+        frame = frame.sort_values(["length", "has_id", "known_id", "start", "ids_crc32", "piece"], ascending=[False, *[True] * 5], kind="stable")
         number, offset = best_fit_decreasing(frame["length"].to_numpy(), window)
-        group = frame.pop("pack_group")
-        return frame.assign(sequence_id=group.to_numpy() + groups * number, offset=offset)
+        return frame.drop(columns="piece").assign(sequence_id=2 * (group.iloc[0] + groups * number), offset=offset)
 
-    group = F.pmod(F.xxhash64("doc_id", "start"), F.lit(groups)).alias("pack_group")
-    return pieces.select("*", group).groupBy("pack_group").applyInPandas(place, placed_schema)
+    placed = dealt.groupBy("pack_group").applyInPandas(place, f"{kinds}, sequence_id long, offset long")
+    return placed.select(F.when(F.col("has_id"), F.col("known_id")).alias("doc_id"), *columns, "sequence_id", "offset")
 
 
 def padding(lengths: np.ndarray, window: int = WINDOW) -> int:

@@ -128,7 +128,8 @@ def _without(text: str, repeated: set[int], min_words: int) -> tuple[str, list[i
 
 
 def with_passages_removed(docs: DataFrame, min_words: int = MIN_WORDS, name: str = "deduped") -> DataFrame:
-    """All columns of ``docs`` and a struct of text, span_starts, span_ends and removed_words; see ``dedupe_passages``."""
+    """All columns of ``docs`` and a struct of text, span_starts, span_ends and removed_words, as ``name``, which must be
+    a new one; see ``dedupe_passages``."""
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where(F.col("doc_id").isNotNull())
     placed = chunk_pairs(keyed).select("doc_id", F.posexplode("pairs").alias("place", "pair"))
     # aggregated where they arise, so a passage that stands everywhere shuffles one row per task
@@ -147,8 +148,11 @@ def with_passages_removed(docs: DataFrame, min_words: int = MIN_WORDS, name: str
                 rows.append((text if isinstance(text, str) else None, [], [], 0))
         return pd.DataFrame(rows, columns=["text", "span_starts", "span_ends", "removed_words"])
 
-    joined = docs.join(repeats, F.col("doc_id").cast("long") == F.col("repeats_in"), "left")
-    return joined.withColumn(name, cut.asNondeterministic()(F.col("text").cast("string"), "repeated_places")).drop("repeats_in", "repeated_places")
+    # the row out of the way of the names used here
+    own = docs.select(F.struct("*").alias("own"), F.col("doc_id").cast("long").alias("key"), F.col("text").cast("string").alias("text"))
+    joined = own.join(repeats, F.col("key") == F.col("repeats_in"), "left")
+    found = joined.select("own", cut.asNondeterministic()("text", "repeated_places").alias("found"))
+    return found.select("own.*", F.col("found").alias(name))
 
 
 def dedupe_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
