@@ -223,7 +223,7 @@ def all_equal(held: DataFrame, top: DataFrame, turns: DataFrame) -> bool:
     if top.where("before <> other_before").limit(1).count():
         return False
     unsure = top.where("ref <> other_ref").select("depth", "fp")
-    refs = held.join(unsure, ["depth", "fp"], "left_semi").select("depth", "fp", "ref_conv", "ref_shard", "ref_k").distinct()
+    refs = held.join(broadcast_if_small(unsure), ["depth", "fp"], "left_semi").select("depth", "fp", "ref_conv", "ref_shard", "ref_k").distinct()
     texts = turns.select(F.col("conv").alias("ref_conv"), F.col("shard").alias("ref_shard"), F.col("k").alias("ref_k"), "role", "text")
     read = refs.join(texts, ["ref_conv", "ref_shard", "ref_k"])
     seen = read.groupBy("depth", "fp").agg(F.min("role").alias("r"), F.max("role").alias("other_r"), F.min("text").alias("t"), F.max("text").alias("other_t"))
