@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tallyworks.llm import near_dups, packing, passages, quality_lines, toxicity
 from tallyworks.llm.queries import TOKENIZER, small_batches
-from tallyworks.session import broadcast_if_small, scratch_path
+from tallyworks.session import broadcast_if_small, cut_lineage, scratch_path
 
 
 #: A near copy shares this share of its shingles of so many words; twelve chunks of a signature cover it.
@@ -21,41 +21,64 @@ def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
+def _fresh(docs: DataFrame, name: str) -> str:
+    """The name, or one like it that no column of the documents has."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
+def _as_before(found: DataFrame, docs: DataFrame) -> DataFrame:
+    return found.select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a toxicity score below the threshold."""
+    """Documents with a toxicity score below the threshold. A null or empty text is scored like any other."""
     small_batches(spark)
-    model = toxicity.train(docs, _labels(spark, sf_dir))
-    return toxicity.with_score(docs, model, name="toxicity_score").where(F.col("toxicity_score") < toxicity.THRESHOLD).select(docs.columns)
+    model, score = toxicity.train(docs, _labels(spark, sf_dir)), _fresh(docs, "toxicity_score")
+    return _as_before(toxicity.with_score(docs, model, name=score).where(F.col(score) < toxicity.THRESHOLD), docs)
 
 
 def drop_bad(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a quality score from the threshold on; all of them where the labels give no model."""
     small_batches(spark)
-    model = quality_lines.train(docs, _labels(spark, sf_dir))
+    model, score = quality_lines.train(docs, _labels(spark, sf_dir)), _fresh(docs, "quality_score")
     if model is None:
         return docs
-    return quality_lines.with_score(docs, model, name="quality_score").where(F.col("quality_score") >= quality_lines.THRESHOLD).select(docs.columns)
+    return _as_before(quality_lines.with_score(docs, model, name=score).where(F.col(score) >= quality_lines.THRESHOLD), docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, the one with the smallest id. Rows with one id stay or go together."""
+    """One document of each group of near duplicates, the one with the smallest id.
+
+    Of rows with one id and one text a single one stays; different texts of one id stay or go together. Documents without id stay.
+    """
     small_batches(spark)
     marked = near_dups.near_duplicates(docs, words=NEAR_WORDS, percent=NEAR_PERCENT, chunks=NEAR_CHUNKS)
     gone = marked.where(~F.col("kept")).select("doc_id")
-    return docs.join(broadcast_if_small(gone), "doc_id", "left_anti").select(docs.columns)
+    left = _as_before(docs.join(broadcast_if_small(gone), "doc_id", "left_anti"), docs)
+    twice = docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("doc_id is not null and n > 1").select("doc_id")
+    twice = broadcast_if_small(cut_lineage(twice))
+    repeated = left.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    return _as_before(left.join(twice, "doc_id", "left_anti"), docs).unionByName(_as_before(repeated, docs))
 
 
 def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without passages that an earlier document holds; a document of nothing else goes."""
+    """Texts without passages that an earlier document holds; a document of nothing else goes. Documents without id stay whole."""
     small_batches(spark)
-    cut = passages.with_passages_removed(docs, name="deduped")
-    left = cut.where((F.col("deduped.removed_words") == 0) | F.col("deduped.text").rlike(r"[^\x20\x09-\x0D]"))
-    changed = {"text": F.col("deduped.text"), "n_chars": F.when(F.col("deduped.removed_words") > 0, F.length("deduped.text")).otherwise(F.col("n_chars")).cast("long")}
-    return left.withColumns(changed).select(docs.columns)
+    name = _fresh(docs, "deduped")
+    cut = passages.with_passages_removed(docs, name=name)
+    removed, text = F.col(f"{name}.removed_words"), F.col(f"{name}.text")
+    left = cut.where((removed == 0) | text.rlike(r"[^\x20\x09-\x0D]"))
+    changed = {"text": text}
+    if "n_chars" in docs.columns:
+        changed["n_chars"] = F.when(removed > 0, F.length(text)).otherwise(F.col("n_chars")).cast("long")
+    return _as_before(left.withColumns(changed), docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of the documents and their places in sequences of 2048 ids."""
+    """The pieces of the documents and their places in sequences of 2048 ids. Documents without id are packed as well."""
     small_batches(spark)
     import public_tokenizers
 
@@ -70,7 +93,8 @@ STAGES = [
     ("packing", pack),
 ]
 
-#: The classifiers, the chunks and the tokenizer are beyond SQL; tests hold each stage against a brute-force version.
+#: The classifiers, the chunks and the tokenizer are beyond SQL. Tests hold near-dedup and packing against brute force, and the
+#: other stages against planted cases and held-out labels.
 ORACLE_SQL = None
 
 
