@@ -5,8 +5,9 @@ dropped together with what they hold, every block element ends a line, and the e
 behind; edges in or of a dropped part leave none. Over these lines the lengths of ``WINDOW`` lines are summed. The text begins
 where that sum surges above ``SURGE`` and ends where it dives to nothing. The article reaches from the first to the last such
 stretch whose lines are long enough beside those of the stretch with most text, or that lies in the container which
-holds all of these; stretches that are mostly links do not count. Where a page names its article itself (``article`` or
-``main``), only the lines in there are looked at, from the first surge to the last dive.
+holds all of these; stretches that are mostly links do not count. What a page names as its article (``article`` or ``main``) is
+a hint: stretches end at its edges, and where the one with most text lies in there, the article goes from the first surge to the
+last dive in there. A name around less text than stands elsewhere decides nothing.
 
 A part whose name marks it as no article text is dropped, unless it holds most of the text of the page.
 """
@@ -183,7 +184,7 @@ class Lines:
     containers: list[int]  #: innermost container of the line, 0 for the page
     outer: list[int]  #: by container, the one around it
     last: list[int]  #: by container, the last one opened in it
-    named: bool  #: whether they are those of an article the page names itself
+    inside: np.ndarray  #: whether the line lies in an article the page names itself
 
 
 def lines_of(page: str) -> Lines:
@@ -203,10 +204,7 @@ def lines_of(page: str) -> Lines:
             linked.append(sum(len(data.strip()) for data, link in left if link))
             inside.append(in_article)
             containers.append(container)
-    named = any(text and within for text, within in zip(texts, inside, strict=True))
-    if named:
-        texts = [text if within else "" for text, within in zip(texts, inside, strict=True)]
-    return Lines(texts, np.array(linked, np.int64), containers, parser.outer, parser.last, named)
+    return Lines(texts, np.array(linked, np.int64), containers, parser.outer, parser.last, np.array(inside, bool))
 
 
 def text_stretches(lengths: np.ndarray, window: int = WINDOW, surge: int = SURGE) -> list[tuple[int, int]]:
@@ -222,12 +220,21 @@ def text_stretches(lengths: np.ndarray, window: int = WINDOW, surge: int = SURGE
     return stretches
 
 
-def _article(lines: Lines, lengths: np.ndarray, stretches: list[tuple[int, int]]) -> tuple[int, int]:
-    """First line of the article and the one after its last, on a page that does not name it."""
+def _article(lines: Lines) -> list[str]:
+    """The lines of the article. Stretches end at the edges of what the page names as one."""
+    lengths = np.fromiter(map(len, lines.texts), np.int64, len(lines.texts))
+    stretches = sorted(s for part in (lines.inside, ~lines.inside) for s in text_stretches(np.where(part, lengths, 0)))
+    if not stretches:
+        return []
     all_of = [int(lengths[a:b].sum()) for a, b in stretches]
     plain = [n - int(lines.linked[a:b].sum()) for n, (a, b) in zip(all_of, stretches, strict=True)]
-    average = [n / np.count_nonzero(lengths[a:b]) for n, (a, b) in zip(all_of, stretches, strict=True)]
     most = max(range(len(stretches)), key=lambda k: (plain[k], all_of[k]))
+    within = lines.inside[[a for a, _ in stretches]]
+    if within[most]:
+        named = np.flatnonzero(within)
+        begin, end = stretches[named[0]][0], stretches[named[-1]][1]
+        return [text for text, inside in zip(lines.texts[begin:end], lines.inside[begin:end].tolist(), strict=True) if inside]
+    average = [n / np.count_nonzero(lengths[a:b]) for n, (a, b) in zip(all_of, stretches, strict=True)]
     prose = [k for k in range(len(stretches)) if k == most or 2 * plain[k] > all_of[k]]
     kept = [k for k in prose if average[k] >= DENSE * average[most]]
     held = [lines.containers[i] for k in kept for i in range(*stretches[k]) if lengths[i]]
@@ -235,20 +242,12 @@ def _article(lines: Lines, lengths: np.ndarray, stretches: list[tuple[int, int]]
     while lines.last[shared] < highest:
         shared = lines.outer[shared]
     kept += [k for k in prose if shared and shared <= lines.containers[stretches[k][0]] <= lines.last[shared]]
-    return stretches[min(kept)][0], stretches[max(kept)][1]
+    return lines.texts[stretches[min(kept)][0] : stretches[max(kept)][1]]
 
 
 def main_text(page: str | None) -> str:
     """The article: its blocks in page order, joined by one newline; empty without any."""
-    if not page:
-        return ""
-    lines = lines_of(page)
-    lengths = np.fromiter(map(len, lines.texts), np.int64, len(lines.texts))
-    stretches = text_stretches(lengths)
-    if not stretches:
-        return ""
-    begin, end = (stretches[0][0], stretches[-1][1]) if lines.named else _article(lines, lengths, stretches)
-    return "\n".join(filter(None, lines.texts[begin:end]))
+    return "\n".join(filter(None, _article(lines_of(page)))) if page else ""
 
 
 def extract(pages: DataFrame) -> DataFrame:

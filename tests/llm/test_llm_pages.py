@@ -1,5 +1,7 @@
 """Articles of pages that do not name them."""
 
+import re
+
 import pytest
 
 from tallyworks.llm.html_blocks import main_text
@@ -36,3 +38,17 @@ def test_named_parts_go_where_they_hold_less():
     page = f"<body><div><p>{FIRST}</p><p>{SECOND} <span class=share>Share</span></p><p>{THIRD}</p></div><div class=site-sidebar>Other stories</div>"
     assert main_text(page) == WHOLE
     assert main_text(f"<body><p>{FIRST}</p><div id=comments><p>{SECOND}</p><p>{THIRD}</p></div>") == FIRST
+
+
+def test_pages_that_do_not_name_their_article_give_it_all_the_same(spark):
+    pages = [r.html for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("html").collect() if r.html]
+    equal = [main_text(p) == main_text(re.sub(r"<(/?)(article|main)\b", r"<\1div", p)) for p in pages]
+    assert len(equal) > 200 and sum(equal) >= 0.95 * len(equal)
+
+
+def test_a_name_around_little_text_does_not_decide():
+    teaser = "<article><p>Another story.</p></article>"
+    page = f"<body>{teaser}<div><div><p>{FIRST}</p><p>{SECOND}</p><p>{THIRD}</p></div></div>"
+    assert main_text(page) == WHOLE
+    named = f"<body><div><p>{FIRST}</p></div><article><p>Hi.</p><p>{SECOND}</p><p>{THIRD}</p></article><div><p>{FIRST}</p></div>"
+    assert main_text(named) == f"Hi.\n{SECOND}\n{THIRD}"
