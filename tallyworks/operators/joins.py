@@ -112,7 +112,7 @@ def replicated_join(
         raise ValueError("how must be inner or left")
     small = without_nulls(small, small_key)
     if order is not None:
-        small = one_per_key(small, small_key, order)
+        small = cut_lineage(one_per_key(small, small_key, order))  # measured, and then joined
     small, small_key = _apart(rows, small, small_key)
     rows = without_nulls(rows, row_key)
     return rows.join(broadcast_if_small(small), F.col(row_key) == F.col(small_key), how)

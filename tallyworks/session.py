@@ -25,9 +25,24 @@ def shared_dir(spark: SparkSession) -> str:
     return tempfile.mkdtemp(prefix="tallyworks-")
 
 
+_scratch: dict[str, str] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh path in the application's own folder below the shared one.
+
+    That folder is marked to be deleted when the driver's process ends, with all results that were only passed on through it.
+    """
+    context = spark.sparkContext
+    root = _scratch.get(context.applicationId)
+    if root is None:
+        root = f"{shared_dir(spark).rstrip('/')}/tallyworks-{context.applicationId}"
+        path = context._jvm.org.apache.hadoop.fs.Path(root)
+        store = path.getFileSystem(context._jsc.hadoopConfiguration())
+        store.mkdirs(path)
+        store.deleteOnExit(path)
+        _scratch[context.applicationId] = root
+    return f"{root}/{name}-{uuid.uuid4().hex}"
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

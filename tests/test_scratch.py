@@ -1,0 +1,28 @@
+"""Scratch folders go when the application's process ends."""
+
+import subprocess
+import sys
+import textwrap
+
+from tallyworks.session import scratch_path
+
+
+def test_paths_are_fresh_and_in_one_folder(spark):
+    first, second = scratch_path(spark, "a"), scratch_path(spark, "a")
+    assert first != second and first.rsplit("/", 1)[0] == second.rsplit("/", 1)[0]
+
+
+def test_folder_is_deleted_at_the_end(tmp_path):
+    script = textwrap.dedent(f"""
+        from pyspark.sql import SparkSession
+        from tallyworks.session import scratch_path
+        spark = SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false").config("spark.checkpoint.dir", "{tmp_path}").getOrCreate()
+        path = scratch_path(spark, "kept")
+        spark.range(3).write.parquet(path)
+        assert spark.read.parquet(path).count() == 3
+        print("written to", path)
+        spark.stop()
+    """)
+    done = subprocess.run([sys.executable, "-c", script], capture_output=True, text=True, timeout=300, cwd=".")
+    assert f"written to {tmp_path}/tallyworks-" in done.stdout, done.stderr[-2000:]
+    assert not list(tmp_path.glob("tallyworks-*"))
