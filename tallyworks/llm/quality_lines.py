@@ -2,7 +2,8 @@
 
 Every line is good or bad. Its features are measures of the line itself and of the lines before and after it; a transition
 weight for each pair of neighbouring labels says how good and bad lines follow each other. In training a line has the label of
-its document. Forward-backward gives each line's probability of being good, and their mean, weighted by length, is the quality
+its document, and documents are also put together from the beginning of a good and the end of a bad one, or the other way round:
+from these the chain learns that labels change, and that a line is to be told by itself and its neighbours. Forward-backward gives each line's probability of being good, and their mean, weighted by length, is the quality
 of the document; one logistic curve over that mean turns it into a probability.
 
 Documents of a batch advance together, line by line, as arrays.
@@ -10,6 +11,7 @@ Documents of a batch advance together, line by line, as arrays.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,6 +29,9 @@ THRESHOLD = 0.7
 ROUNDS = 150
 LEARNING_RATE = 0.1
 DECAY = 1e-3
+#: Mixed documents to learn from, as a share of the others.
+MIXED_SHARE = 1.0
+_WORD = re.compile(r"[^\x20\x09-\x0D]")
 
 
 def _flags(chars: str) -> np.ndarray:
@@ -172,10 +177,38 @@ def _all_lines(texts: list[str]) -> Lines:
     return Lines(*joined, len(texts))
 
 
+def _mixed(texts: list[str], labels: np.ndarray, share: float = MIXED_SHARE) -> tuple[list[str], list[int], list[int]]:
+    """Documents made of the first lines of one and the last lines of another with the other label: texts, the label of the
+    first part, and how many lines with a word it has. Halves are cut between lines."""
+    kinds = [[t.split("\n") for t, label in zip(texts, labels, strict=True) if label == kind and t] for kind in (0, 1)]
+    made, first, lines = [], [], []
+    if not all(kinds):
+        return made, first, lines
+    for i in range(int(share * len(texts))):
+        kind = i % 2
+        head, tail = kinds[kind][i // 2 % len(kinds[kind])], kinds[1 - kind][i // 2 % len(kinds[1 - kind])]
+        head, tail = head[: (len(head) + 1) // 2], tail[len(tail) // 2 :]
+        made.append("\n".join(head + tail))
+        first.append(kind)
+        lines.append(sum(bool(_WORD.search(line)) for line in head))
+    return made, first, lines
+
+
+def _truth(lines: Lines, labels: np.ndarray, first: list[int], first_lines: list[int]) -> np.ndarray:
+    """The label of every line: that of its document, and of its part in a mixed one, which come behind the others."""
+    place = np.arange(len(lines.owner)) - np.searchsorted(lines.owner, lines.owner)
+    plain = len(labels)
+    of_first = np.concatenate([labels, np.array(first, float)])[lines.owner]
+    beyond = place >= np.concatenate([np.full(plain, len(place) + 1), np.array(first_lines, np.int64)])[lines.owner]
+    return np.where(beyond, 1 - of_first, of_first)
+
+
 def fit(texts: list[str], labels: np.ndarray, rounds: int = ROUNDS) -> Model:
     """Maximum likelihood of the line labels given the texts, then of the document labels given their quality."""
-    lines = _all_lines(texts)
-    truth = labels[lines.owner].astype(float)
+    made, first, first_lines = _mixed(texts, labels)
+    alone = _all_lines(texts)
+    lines = _all_lines(texts + made) if made else alone
+    truth = _truth(lines, labels, first, first_lines)
     same = lines.owner[1:] == lines.owner[:-1]
     seen = np.zeros((2, 2))
     np.add.at(seen, (truth[:-1][same].astype(int), truth[1:][same].astype(int)), 1)
@@ -187,7 +220,7 @@ def fit(texts: list[str], labels: np.ndarray, rounds: int = ROUNDS) -> Model:
 
     x = _ascend(np.zeros(width + 4), line_gradient, rounds)
     model = Model(x[:width], x[width:].reshape(2, 2), 1.0, 0.0)
-    quality = document_quality(lines, model) / 5
+    quality = document_quality(alone, model) / 5
 
     def curve_gradient(x: np.ndarray) -> np.ndarray:
         miss = labels - 1 / (1 + np.exp(-np.clip(x[0] * quality + x[1], -500, 500)))
@@ -197,6 +230,12 @@ def fit(texts: list[str], labels: np.ndarray, rounds: int = ROUNDS) -> Model:
     return Model(model.weights, model.follow, slope / 5, shift)
 
 
+def line_marginals(text: str, model: Model) -> np.ndarray:
+    """Probability of good for each line of a text that holds a word."""
+    lines = line_features([text])
+    return forward_backward(lines.features @ model.weights, lines.owner, lines.texts, model.follow)[0]
+
+
 def score(texts: list[str | None], model: Model) -> np.ndarray:
     """Probability of label 1 of each text."""
     quality = document_quality(line_features(texts), model)
