@@ -1,8 +1,9 @@
 """SentencePiece encoding and decoding by batched Viterbi over numpy arrays.
 
 A text is cut into words at its spaces (no piece holds a space after another character) and at marks that no piece holds
-together with other characters; words not met before are encoded together: those of equal length advance side by side, character by character. At each place the substrings that end
-there are hashed from running sums and probed in the sorted keys of the pieces; the best piece of every word is kept by
+together with other characters; a long word is cut further between characters that stand next to each other in no piece, so that a
+text without spaces is no single word. Words not met before are encoded together: those of similar length advance side by side,
+character by character, the shorter ones padded. At each place the substrings that end there are hashed from running sums and probed in the sorted keys of the pieces; the best piece of every word is kept by
 vectorised comparison, with its length as backpointer. Backpointers are then followed from the ends.
 
 A model file has one of two kinds of pieces, and what "best" means follows it:
@@ -19,6 +20,7 @@ the mark U+2581, which stands for a space.
 
 from __future__ import annotations
 
+import bisect
 import re
 import zlib
 from collections.abc import Iterator
@@ -33,6 +35,9 @@ from tallyworks.llm.words import batches, mix
 SPACE = "▁"
 #: Words that a Python worker remembers; later ones are encoded each time they come.
 REMEMBERED = 500_000
+#: Characters of a word that is remembered, at most, and from which on a word is cut between characters that no piece joins.
+REMEMBERED_CHARS = 64
+LONG_WORD = 12
 #: Pairs of pieces that it remembers.
 REMEMBERED_PAIRS = 1_000_000
 #: Characters of texts, and of new words, that are worked on together: the more words of a length, the fewer steps a word takes.
@@ -79,6 +84,7 @@ class Pieces:
         joined = {c for _, p, _ in found for c in _MARKS if c in p and p.strip(c)}
         alone = "".join(re.escape(c) for c in _MARKS if c not in joined)
         self.word = re.compile(f"{SPACE}*[^{SPACE}{alone}]+|{SPACE}+" + (f"|[{alone}]+" if alone else ""))
+        self.joined = {p[i : i + 2] for _, p, _ in found for i in range(len(p) - 1)}
         self.words: dict[str, bytes] = {}
         self.pairs: dict[tuple[int, int], bool] = {}
 
@@ -122,8 +128,12 @@ class Pieces:
         return known[back]
 
     def segment(self, words: list[str]) -> list[np.ndarray]:
-        """Piece ids of words of one length; -2 for a character without piece."""
-        n, size = len(words), len(words[0])
+        """Piece ids of words of any length; -2 for a character without piece.
+
+        Shorter words are padded with the character 0, which is in no piece. What stands behind a place changes nothing before it.
+        """
+        n, sizes = len(words), np.fromiter(map(len, words), np.int64, len(words))
+        size = int(sizes.max())
         chars = np.array(words, f"<U{size}").view(np.uint32).reshape(n, size)
         sums = np.zeros((size + 1, n), np.uint64)
         for j in range(size):
@@ -153,11 +163,11 @@ class Pieces:
                     at, piece = at[better], piece[better]
                     best[j][at] = total[better]
                 last[j][at], length[j][at] = piece, k
-        return self._followed(last, length, n, size)
+        return self._followed(last, length, sizes)
 
     @staticmethod
-    def _followed(last: np.ndarray, length: np.ndarray, n: int, size: int) -> list[np.ndarray]:
-        at, rows, steps = np.full(n, size), np.arange(n), []
+    def _followed(last: np.ndarray, length: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
+        at, rows, steps = sizes.copy(), np.arange(len(sizes)), []
         while (at > 0).any():
             steps.append(np.where(at > 0, last[at, rows], _START))
             at = np.where(at > 0, at - length[at, rows], 0)
@@ -178,18 +188,27 @@ class Pieces:
                 at += 1
         return np.array(out, np.int32)
 
+    def _parts(self, word: str) -> list[str]:
+        """A long word cut between characters that no piece holds next to each other; what is joined across there is no piece."""
+        if len(word) <= LONG_WORD:
+            return [word]
+        joined = self.joined
+        cuts = [0, *[i for i, pair in enumerate(map("".join, zip(word, word[1:], strict=False)), 1) if pair not in joined], len(word)]
+        return [word[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+
     def _new(self, words: list[str]) -> dict[str, bytes]:
-        """Ids of words, as 32-bit numbers; those of equal length are segmented together."""
-        by_length: dict[int, list[str]] = {}
-        for word in words:
-            by_length.setdefault(len(word), []).append(word)
-        new = {}
-        for size, group in by_length.items():
-            step = max(1, BATCH_CHARS // size)
-            for begin in range(0, len(group), step):
-                part = group[begin : begin + step]
-                new.update((w, self._spelled(w, f).tobytes()) for w, f in zip(part, self.segment(part), strict=True))
-        return new
+        """Ids of words, as 32-bit numbers; those of similar length are segmented together."""
+        parts = {w: self._parts(w) for w in words}
+        ordered = sorted({p for cut in parts.values() for p in cut if p not in self.words}, key=len)
+        new, begin = {}, 0
+        while begin < len(ordered):
+            longest = max(len(ordered[begin]) + 3, len(ordered[begin]) * 5 // 4)
+            end = bisect.bisect_right(ordered, longest, lo=begin, hi=min(len(ordered), begin + max(1, BATCH_CHARS // longest)), key=len)
+            part = ordered[begin:end]
+            new.update((w, self._spelled(w, f).tobytes()) for w, f in zip(part, self.segment(part), strict=True))
+            begin = end
+        ids = lambda p: new.get(p) or self.words[p]
+        return new | {w: b"".join(map(ids, cut)) for w, cut in parts.items() if len(cut) > 1}
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """Piece ids of each text; none for a null or empty one."""
@@ -197,9 +216,8 @@ class Pieces:
         known = self.words
         new = self._new([w for w in dict.fromkeys(w for words in cut for w in words) if w not in known])
         if len(known) < REMEMBERED:
-            known.update(new)
-            new = {}
-        found = [b"".join([new.get(w) or known[w] for w in words] if new else map(known.__getitem__, words)) for words in cut]
+            known.update((w, i) for w, i in new.items() if len(w) <= REMEMBERED_CHARS)
+        found = [b"".join([known.get(w) or new[w] for w in words]) for words in cut]
         return [np.frombuffer(f, np.int32) for f in found]
 
     def decode(self, ids: np.ndarray) -> str:

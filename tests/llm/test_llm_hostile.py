@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 
 from tallyworks.llm import html_blocks, toxicity, url_trees
+from tallyworks.llm.pieces import Pieces
 
 PARAGRAPH = "A paragraph of the article, with enough words in it to be one."
 
@@ -100,3 +101,45 @@ def test_suffix_statistics_cover_all_labelled_urls(spark):
     model = url_trees.train(spark.createDataFrame(urls, "url string, blocked int"), sample_rows=100)
     assert model.suffixes.where("suffix = 'example'").first()["n"] == 2000
     assert model.suffixes.count() == 401 and model.trees is not None
+
+
+@pytest.fixture(scope="module")
+def model_file():
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+def _letters(r, n):
+    return "".join(r.choices("abcdefghijklmnopqrstuvwxyzé", k=n))
+
+
+def test_unspaced_and_long_words_have_the_pieces_of_the_library(model_file):
+    import sentencepiece
+
+    r = random.Random(11)
+    library, pieces = sentencepiece.SentencePieceProcessor(model_file=model_file), Pieces(model_file)
+    texts = ["".join(chr(r.randrange(0x4E00, 0x9FA5)) for _ in range(30_000)), "".join(chr(r.randrange(0x3041, 0x30FF)) for _ in range(3000))]
+    texts += [_letters(r, n) for n in (12, 13, 64, 65, 700, 4000)] + ["ab" * 3000, "the" * 1500, " ".join(_letters(r, r.randrange(1, 90)) for _ in range(800)), "\U0001f600" * 500 + "x"]
+    for _ in range(2):  # the second time from memory
+        assert [f.tolist() for f in pieces.encode(texts)] == library.encode(texts)
+
+
+def test_a_megabyte_without_spaces_is_no_trouble(model_file):
+    r = random.Random(12)
+    pieces = Pieces(model_file)
+    text = "".join(chr(r.randrange(0x4E00, 0x9FA5)) for _ in range(350_000))
+    begin = time.perf_counter()
+    assert pieces.decode(pieces.encode([text])[0]) == text
+    assert time.perf_counter() - begin < 10
+
+
+@pytest.mark.parametrize("kind", ["bpe", "unigram"])
+def test_words_are_cut_only_where_no_piece_lies(kind):
+    names = ["▁", "a", "b", "c", "ab", "ca", "abab", "▁a"]
+    pieces = Pieces(None, kind, [(p, -float(i)) for i, p in enumerate(names)], bytes_from=len(names))
+    assert pieces._parts("abababab" * 2) == ["abababab" * 2]
+    assert pieces._parts("ababababccccabab") == ["abababab", "c", "c", "c", "cabab"]
+    word = "abcabbcaabccab" * 4
+    whole = pieces._spelled(word, pieces.segment([word])[0])
+    assert np.frombuffer(pieces._new([word])[word], np.int32).tolist() == whole.tolist()
