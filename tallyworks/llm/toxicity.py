@@ -189,7 +189,10 @@ def train(docs: DataFrame, labels: DataFrame, target: str = "toxic", sample_rows
     ready = cut_lineage(ready).withColumn("label", F.col("label").cast("double"))
     trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.2, seed=1).fit(ready.where("fold < 8") if split else ready)
     raw = trees.transform(ready.where("fold >= 8") if split else ready).select("label", vector_to_array("probability")[1].alias("raw"))
-    return Model(learn_lexicon(sample), trees, IsotonicRegression(featuresCol="raw", labelCol="label").fit(raw))
+    # equal scores are one point with a weight; their rows would all meet in one task otherwise
+    points = raw.groupBy("raw").agg(F.avg("label").alias("label"), F.count("*").cast("double").alias("weight"))
+    curve = IsotonicRegression(featuresCol="raw", labelCol="label", weightCol="weight").fit(points)
+    return Model(learn_lexicon(sample), trees, curve)
 
 
 def with_score(docs: DataFrame, model: Model | None, text: str = "text", name: str = "score") -> DataFrame:

@@ -143,3 +143,17 @@ def test_words_are_cut_only_where_no_piece_lies(kind):
     word = "abcabbcaabccab" * 4
     whole = pieces._spelled(word, pieces.segment([word])[0])
     assert np.frombuffer(pieces._new([word])[word], np.int32).tolist() == whole.tolist()
+
+
+def test_weighted_points_give_the_curve_of_their_rows(spark):
+    from pyspark.ml.regression import IsotonicRegression
+    from pyspark.sql import functions as F
+
+    r = random.Random(13)
+    scores = [r.choice([0.05, 0.05, 0.05, 0.2, 0.4, 0.7, r.random()]) for _ in range(600)]
+    rows = spark.createDataFrame([(s, float(r.random() < s)) for s in scores], "raw double, label double")
+    points = rows.groupBy("raw").agg(F.avg("label").alias("label"), F.count("*").cast("double").alias("weight"))
+    plain = IsotonicRegression(featuresCol="raw").fit(rows)
+    weighted = IsotonicRegression(featuresCol="raw", weightCol="weight").fit(points)
+    for x in np.linspace(0, 1, 40).tolist():
+        assert weighted.predict(x) == pytest.approx(plain.predict(x))
