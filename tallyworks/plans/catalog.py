@@ -10,7 +10,7 @@ from __future__ import annotations
 import functools
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyworks.functions.moments import format_moment, parse_moment
@@ -515,6 +515,18 @@ def shuffle_rows(spark, sf_dir):
     return organize.shuffle_rows(table(spark, sf_dir, "events"), seed=7)
 
 
+def shuffle_rows_mixed(spark, sf_dir):
+    """The shuffled table held against its purpose: hardly a row keeps its neighbour, and tasks have about as many rows each."""
+    tasks = max(4, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    shuffled = organize.shuffle_rows(table(spark, sf_dir, "events").select("event_id"), tasks, seed=7)
+    placed = cut_lineage(shuffled.select("event_id", F.spark_partition_id().alias("task"), F.monotonically_increasing_id().alias("place")))
+    before = F.lag("event_id").over(Window.partitionBy("task").orderBy("place"))
+    near = placed.select("task", (F.abs(F.col("event_id") - before) == 1).alias("near"))
+    sizes = near.groupBy("task").agg(F.count("*").alias("rows"), F.count_if("near").alias("near"))
+    whole = sizes.agg(F.sum("rows").alias("n"), F.max("rows").alias("most"), F.sum("near").alias("near"))
+    return whole.select("n", (F.col("near") < 0.05 * F.col("n")).alias("mixed"), (F.col("most") <= 1.5 * F.col("n") / tasks + 10).alias("even"))
+
+
 def _posts(spark, sf_dir):
     """Documents as posts with an escaped tag text."""
     tags = F.concat(F.lit("&lt;"), "lang", F.lit("&gt;&lt;"), "source", F.lit("&gt;"))
@@ -804,6 +816,7 @@ QUERIES: dict[str, Query] = {
         position_frequency_bins,
         anonymize_and_distinct,
         shuffle_rows,
+        shuffle_rows_mixed,
         bins_by_tag,
         bin_counts,
         bins_counted,

@@ -246,6 +246,7 @@ ORACLES: dict[str, str] = {
         FROM conversations p LEFT JOIN inner_parts c ON p.conv_id = c.conv_id WHERE p.turn = 0""",
     "corpus_file_weights": _term_weights("concat_ws('-', lang, source)"),
     "synthetic_words_joined": "SELECT count(*) AS n, true AS all_known, 0 AS n_differ FROM events",
+    "shuffle_rows_mixed": "SELECT count(*) AS n, true AS mixed, true AS even FROM events",
     "shuffle_rows": "SELECT * FROM events",
     "bins_by_tag": f"SELECT bin, doc_id FROM {_BINNED}",
     "bin_counts": f"SELECT bin, count(*) AS n FROM {_BINNED} GROUP BY bin",
