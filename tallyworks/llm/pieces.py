@@ -3,7 +3,8 @@
 A text is cut into words at its spaces (no piece holds a space after another character) and at marks that no piece holds
 together with other characters; a long word is cut further between characters that stand next to each other in no piece, so that a
 text without spaces is no single word. Words not met before are encoded together: those of similar length advance side by side,
-character by character, the shorter ones padded. At each place the substrings that end there are hashed from running sums and probed in the sorted keys of the pieces; the best piece of every word is kept by
+character by character, the shorter ones padded. At each place the substrings that end there are hashed from running sums and probed in the sorted keys of the pieces, most of them no further than
+a table of flags that shows they are no key; the best piece of every word is kept by
 vectorised comparison, with its length as backpointer. Backpointers are then followed from the ends.
 
 A model file has one of two kinds of pieces, and what "best" means follows it:
@@ -12,7 +13,8 @@ A model file has one of two kinds of pieces, and what "best" means follows it:
 - ``bpe``: scores are ranks of merges, not log probabilities, and the segmentation of largest sum is *not* that of the model.
   Here a piece may follow another only if merging the two by rank gives just these two. A word is segmented by its merges
   exactly if all its neighbours are such pairs, and exactly one piece ends so at every place; the step of the search is a choice
-  among those instead of a maximum of sums. Which pairs may follow each other is worked out once and remembered.
+  among those instead of a maximum of sums. Which pairs may follow each other is worked out once and remembered: the merges of
+  either piece alone, put in the order of their ranks, must never leave a better one across their border.
 
 Characters without a piece become the pieces of their bytes. Decoding joins pieces and gives the text back exactly, but for
 the mark U+2581, which stands for a space.
@@ -21,6 +23,7 @@ the mark U+2581, which stands for a space.
 from __future__ import annotations
 
 import bisect
+import itertools
 import re
 import zlib
 from collections.abc import Iterator
@@ -38,8 +41,11 @@ REMEMBERED = 500_000
 #: Characters of a word that is remembered, at most, and from which on a word is cut between characters that no piece joins.
 REMEMBERED_CHARS = 64
 LONG_WORD = 12
-#: Pairs of pieces that it remembers.
+#: Pairs of pieces that it remembers, and places of the table in which those that come often are found without a loop.
 REMEMBERED_PAIRS = 1_000_000
+PAIR_PLACES = 1 << 20
+#: Flags by which a key that no piece has is told before the sorted keys are searched.
+KEY_FLAGS = 1 << 21
 #: Characters of texts, and of new words, that are worked on together: the more words of a length, the fewer steps a word takes.
 BATCH_CHARS = 1 << 22
 
@@ -80,13 +86,17 @@ class Pieces:
         order = np.argsort(keys)
         self.keys, self.ids = keys[order], np.array([i for i, _, _ in found], np.int64)[order]
         self.scores = np.array([s for _, _, s in found])[order]
+        self.flags = np.zeros(KEY_FLAGS, bool)
+        self.flags[self.keys & np.uint64(KEY_FLAGS - 1)] = True
         self.unknown_score = self.scores.min() - UNKNOWN_PENALTY
         joined = {c for _, p, _ in found for c in _MARKS if c in p and p.strip(c)}
         alone = "".join(re.escape(c) for c in _MARKS if c not in joined)
         self.word = re.compile(f"{SPACE}*[^{SPACE}{alone}]+|{SPACE}+" + (f"|[{alone}]+" if alone else ""))
         self.joined = {p[i : i + 2] for _, p, _ in found for i in range(len(p) - 1)}
         self.words: dict[str, bytes] = {}
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}
+        self.pair_places = np.full(PAIR_PLACES, -1, np.int64)
+        self.alone: dict[int, tuple | None] = {}
 
     @staticmethod
     def _key(piece: str) -> np.uint64:
@@ -108,27 +118,78 @@ class Pieces:
                 return parts
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
 
+    def _merges(self, piece: int) -> tuple[list[float], list[str], list[str]] | None:
+        """Of the merges that make a piece alone: their ranks, and the first and last part before and after each; None if they
+        make no single piece."""
+        if piece not in self.alone:
+            parts, ranks = list(self.text[piece]), []
+            firsts, lasts = [parts[0]], [parts[-1]]
+            while True:
+                found = [self.rank.get(a + b) for a, b in zip(parts, parts[1:], strict=False)]
+                best = max((r for r in found if r is not None), default=None)
+                if best is None:
+                    break
+                at = found.index(best)
+                parts[at : at + 2] = [parts[at] + parts[at + 1]]
+                ranks.append(best)
+                firsts.append(parts[0])
+                lasts.append(parts[-1])
+            self.alone[piece] = (ranks, firsts, lasts) if len(parts) == 1 else None
+        return self.alone[piece]
+
     def _follows(self, before: int, piece: int) -> bool:
-        text = self.text[piece]
-        if before < 0:  # at the start or after a character that merges with nothing
-            return self.merged(text) == [text]
-        return self.merged(self.text[before] + text) == [self.text[before], text]
+        """Whether merging the text of both gives just these two; of a piece at the start or after a character that merges with
+        nothing, whether merging gives it."""
+        right = self._merges(piece)
+        left = self._merges(before) if before >= 0 else None
+        if right is None or before < 0:
+            return right is not None
+        if left is None:
+            return False
+        (left_ranks, _, lasts), (right_ranks, firsts, _) = left, right
+        i = j = 0
+        while True:
+            across = self.rank.get(lasts[i] + firsts[j])
+            a = left_ranks[i] if i < len(left_ranks) else None
+            b = right_ranks[j] if j < len(right_ranks) else None
+            # of equal ranks the leftmost is merged first
+            if across is not None and (a is None or across > a) and (b is None or across >= b):
+                return False
+            if a is None and b is None:
+                return True
+            if b is None or (a is not None and a >= b):
+                i += 1
+            else:
+                j += 1
 
     def _allowed(self, before: np.ndarray, piece: np.ndarray) -> np.ndarray:
-        if len(self.pairs) > REMEMBERED_PAIRS:
-            self.pairs = {}
         width = np.int64(len(self.raw) + 2)
-        different, back = np.unique((before + 2) * width + piece, return_inverse=True)
-        known = np.empty(len(different), bool)
-        for k, pair in enumerate(zip((different // width - 2).tolist(), (different % width).tolist(), strict=True)):
-            follows = self.pairs.get(pair)
-            if follows is None:
-                follows = self.pairs[pair] = self._follows(*pair)
-            known[k] = follows
-        return known[back]
+        pairs = (before + 2) * width + piece
+        place = (mix(pairs) & np.uint64(PAIR_PLACES - 1)).astype(np.int64)
+        held = self.pair_places[place]  # twice the pair, and one more if it is allowed
+        fits = held & 1 == 1
+        other = np.flatnonzero(held >> 1 != pairs)
+        if len(other):
+            if len(self.pairs) > REMEMBERED_PAIRS:
+                self.pairs = {}
+            different, back = np.unique(pairs[other], return_inverse=True)
+            known = np.empty(len(different), bool)
+            for k, pair in enumerate(different.tolist()):
+                follows = self.pairs.get(pair)
+                if follows is None:
+                    follows = self.pairs[pair] = self._follows(pair // int(width) - 2, pair % int(width))
+                known[k] = follows
+            fits[other] = known[back]
+            self.pair_places[place[other]] = pairs[other] * 2 + fits[other]
+        return fits
 
     def segment(self, words: list[str]) -> list[np.ndarray]:
-        """Piece ids of words of any length; -2 for a character without piece.
+        """Piece ids of words of any length; -2 for a character without piece."""
+        flat, ends = self._searched(words)
+        return np.split(flat, ends[:-1])
+
+    def _searched(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The piece ids of all words in a row, and where those of each word end.
 
         Shorter words are padded with the character 0, which is in no piece. What stands behind a place changes nothing before it.
         """
@@ -148,17 +209,19 @@ class Pieces:
             open_ = np.ones(n, bool)
             for k in range(min(j, self.longest), 0, -1):
                 keys = mix(sums[j] - sums[j - k] * powers[k] + np.uint64(k))
-                slot = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-                at = np.flatnonzero((self.keys[slot] == keys) & open_)
+                at = np.flatnonzero(self.flags[keys & np.uint64(KEY_FLAGS - 1)] & open_)
+                slot = np.minimum(np.searchsorted(self.keys, keys[at]), len(self.keys) - 1)
+                same = self.keys[slot] == keys[at]
+                at, slot = at[same], slot[same]
                 if not len(at):
                     continue
-                piece = self.ids[slot[at]]
+                piece = self.ids[slot]
                 if self.kind == "bpe":
                     fits = self._allowed(last[j - k][at], piece)
                     at, piece = at[fits], piece[fits]
                     open_[at] = False
                 else:
-                    total = best[j - k][at] + self.scores[slot[at]]
+                    total = best[j - k][at] + self.scores[slot]
                     better = (total > best[j][at]) | (last[j][at] == _UNKNOWN) & (total >= best[j][at])
                     at, piece = at[better], piece[better]
                     best[j][at] = total[better]
@@ -166,13 +229,14 @@ class Pieces:
         return self._followed(last, length, sizes)
 
     @staticmethod
-    def _followed(last: np.ndarray, length: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
+    def _followed(last: np.ndarray, length: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         at, rows, steps = sizes.copy(), np.arange(len(sizes)), []
         while (at > 0).any():
             steps.append(np.where(at > 0, last[at, rows], _START))
             at = np.where(at > 0, at - length[at, rows], 0)
         table = np.stack(steps[::-1], axis=1)
-        return [row[row != _START] for row in table]
+        kept = table != _START
+        return table[kept], np.cumsum(np.count_nonzero(kept, axis=1))
 
     def _spelled(self, word: str, found: np.ndarray) -> np.ndarray:
         """With the bytes of the characters that have no piece."""
@@ -196,16 +260,26 @@ class Pieces:
         cuts = [0, *[i for i, pair in enumerate(map("".join, zip(word, word[1:], strict=False)), 1) if pair not in joined], len(word)]
         return [word[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
 
+    def _segmented(self, words: list[str]) -> list[bytes]:
+        """Ids of words as 32-bit numbers."""
+        flat, ends = self._searched(words)
+        ids, ends = flat.astype(np.int32).tobytes(), ends.tolist()
+        found = [ids[4 * a : 4 * b] for a, b in zip([0, *ends], ends, strict=False)]
+        for i in np.unique(np.searchsorted(ends, np.flatnonzero(flat == _UNKNOWN), "right")).tolist():
+            found[i] = self._spelled(words[i], flat[ends[i - 1] if i else 0 : ends[i]]).tobytes()
+        return found
+
     def _new(self, words: list[str]) -> dict[str, bytes]:
         """Ids of words, as 32-bit numbers; those of similar length are segmented together."""
-        parts = {w: self._parts(w) for w in words}
-        ordered = sorted({p for cut in parts.values() for p in cut if p not in self.words}, key=len)
+        parts = {w: self._parts(w) for w in words if len(w) > LONG_WORD}
+        apart = {p for cut in parts.values() for p in cut if p not in self.words}
+        ordered = sorted(apart.union(w for w in words if len(w) <= LONG_WORD), key=len)
         new, begin = {}, 0
         while begin < len(ordered):
             longest = max(len(ordered[begin]) + 3, len(ordered[begin]) * 5 // 4)
             end = bisect.bisect_right(ordered, longest, lo=begin, hi=min(len(ordered), begin + max(1, BATCH_CHARS // longest)), key=len)
             part = ordered[begin:end]
-            new.update((w, self._spelled(w, f).tobytes()) for w, f in zip(part, self.segment(part), strict=True))
+            new.update(zip(part, self._segmented(part), strict=True))
             begin = end
         ids = lambda p: new.get(p) or self.words[p]
         return new | {w: b"".join(map(ids, cut)) for w, cut in parts.items() if len(cut) > 1}
@@ -213,12 +287,14 @@ class Pieces:
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """Piece ids of each text; none for a null or empty one."""
         cut = [self.word.findall(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
-        known = self.words
-        new = self._new([w for w in dict.fromkeys(w for words in cut for w in words) if w not in known])
-        if len(known) < REMEMBERED:
-            known.update((w, i) for w, i in new.items() if len(w) <= REMEMBERED_CHARS)
-        found = [b"".join([known.get(w) or new[w] for w in words]) for words in cut]
-        return [np.frombuffer(f, np.int32) for f in found]
+        words = list(itertools.chain.from_iterable(cut))
+        ids = list(map(self.words.get, words))  # one look for each word
+        new = self._new(list(dict.fromkeys(w for w, i in zip(words, ids, strict=True) if i is None)))
+        ids = [new[w] if i is None else i for w, i in zip(words, ids, strict=True)]
+        if len(self.words) < REMEMBERED:
+            self.words.update((w, i) for w, i in new.items() if len(w) <= REMEMBERED_CHARS)
+        ends = list(itertools.accumulate(map(len, cut)))
+        return [np.frombuffer(b"".join(ids[a:b]), np.int32) for a, b in zip([0, *ends], ends, strict=False)]
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of piece ids; bytes that form no character become U+FFFD."""

@@ -317,3 +317,19 @@ def test_word_hashes_do_not_depend_on_the_place():
     a, b = Batch.of(["one two", "two three"]), Batch.of(["x" * 1000 + " two"])
     (fa, aa, _), (fb, ab, _) = a.words(), b.words()
     assert a.hashes(fa, aa)[1] == a.hashes(fa, aa)[2] == b.hashes(fb, ab)[1] != a.hashes(fa, aa)[0]
+
+
+def test_pieces_follow_each_other_as_merging_says_and_pairs_are_found_without_a_loop():
+    draw = random.Random(3)
+    for _ in range(60):
+        vocabulary = {c: 0.0 for c in "abc"} | {"".join(draw.choices("abc", k=draw.randint(2, 5))): -float(draw.randint(1, 4)) for _ in range(12)}
+        made = pieces.Pieces(None, "bpe", list(vocabulary.items()), bytes_from=100)
+        for a in [-1, -2, *made.text]:
+            for b, text in made.text.items():
+                before = [] if a < 0 else [made.text[a]]
+                assert made._follows(a, b) == (made.merged("".join(before) + text) == [*before, text])
+    made.encode(["abcab cabba"])
+    made.pairs.clear()
+    made.words.clear()
+    again = made.encode(["abcab cabba"])[0]
+    assert not made.pairs and made.decode(again) == "abcab cabba"
