@@ -17,6 +17,9 @@ from tallyworks.session import broadcast_if_small, cut_lineage
 #: Items, and bytes of items, that a record holds at most.
 PART_ITEMS = 100_000
 PART_BYTES = 64 * 1024 * 1024
+#: Items, and bytes of items, of a key that are held at once, to be cut into records of fewer.
+HELD_ITEMS = 100_000
+HELD_BYTES = 64 * 1024 * 1024
 #: Bytes that a value takes besides its text.
 VALUE_BYTES = 8
 
@@ -35,7 +38,10 @@ def _size_of(value: Column, kind: DataType) -> Column | int:
 def _gathered(
     df: DataFrame, keys: Sequence[str], item: Column, out: str, part_items: int, part_bytes: int
 ) -> tuple[DataFrame, DataFrame | None, DataFrame | None]:
-    """Records of the keys that fit one record, of the others, and the keys of those; the latter two are None without any."""
+    """Records of the keys whose items are held at once, of the others, and the keys of those; the latter two are None without any.
+
+    Those of the former are all in one record, or cut into several where items cost the same.
+    """
     rows = without_nulls(df.select(*keys, item.alias("_item")), *keys)
     size = _size_of(F.col("_item"), rows.schema["_item"].dataType)
     # an item costs its bytes, but not less than its share of a record of so many items
@@ -44,12 +50,19 @@ def _gathered(
     fixed = isinstance(size, int)
     cost = F.lit(max(least, size)).cast("bigint") if fixed else F.greatest(F.lit(least).cast("bigint"), size)
     costs = (without_nulls(df.select(*keys), *keys) if fixed else rows).select(*keys, cost.alias("_cost"))
-    large = costs.groupBy(*keys).agg(F.sum("_cost").alias("_all")).filter(F.col("_all") > whole).select(*keys)
+    held = max(whole, max(least, size) * min(HELD_ITEMS, HELD_BYTES // size)) if fixed else whole
+    large = costs.groupBy(*keys).agg(F.sum("_cost").alias("_all")).filter(F.col("_all") > held).select(*keys)
     columns = [*keys, "part", out]
 
     def collected(group: DataFrame) -> DataFrame:
-        items = F.sort_array(F.collect_list("_item")).alias(out)
-        return group.groupBy(*keys).agg(items).withColumn("part", F.lit(0)).select(columns)
+        records = group.groupBy(*keys).agg(F.sort_array(F.collect_list("_item")).alias(out))
+        if held == whole:
+            return records.withColumn("part", F.lit(0)).select(columns)
+        each = max(least, size)
+        first = lambda part: f"((cast({part} as bigint) * {whole} + {each - 1}) div {each})"
+        parts = F.expr(f"transform(sequence(0, cast((size(`{out}`) - 1L) * {each} div {whole} as int)), p -> struct(p as col1, slice(`{out}`, cast({first('p')} as int) + 1, cast({first('(p + 1)')} - {first('p')} as int)) as col2))")
+        cut = records.select(*keys, F.explode(parts).alias("_record")).where(F.size("_record.col2") > 0)
+        return cut.select(*keys, F.col("_record.col1").alias("part"), F.col("_record.col2").alias(out))
 
     if large.isEmpty():
         return collected(rows), None, None
@@ -90,8 +103,9 @@ def gather(
     behind an item larger than a part one may be left out. A key that fits one part has the part 0.
 
     Keys with more are found by a sum over the keys, or over the lengths of their items; without any, the work is one plain
-    grouping. The items of those keys are dealt by range, summed up within their range and moved up by the sums of the ranges
-    before, so no task ever holds all items of a key.
+    grouping. So it is where items cost the same and those of a key can be held at once, up to ``HELD_ITEMS`` and ``HELD_BYTES``: they
+    are cut where they lie. The items of other keys are dealt by range, summed up within their range and moved up by the sums of
+    the ranges before, so no task ever holds all items of such a key.
     """
     small, dealt, _ = _gathered(df, keys, item, out, part_items, part_bytes)
     return small if dealt is None else small.unionByName(dealt)

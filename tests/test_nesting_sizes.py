@@ -43,3 +43,19 @@ def test_small_groups_take_one_join_and_one_shuffle_of_each_side(spark):
     spark.conf.set(setting, before)
     initial = plan.split("+- == Initial Plan ==")[-1]
     assert initial.count("Exchange hashpartitioning") == 2 and initial.count("Join") == 1
+
+
+@pytest.mark.parametrize("part_bytes, part_items", [(10**6, 3), (50, 1000), (7, 1000), (100, 7), (10**6, 1)])
+def test_items_that_are_held_are_cut_without_ranges(spark, monkeypatch, part_bytes, part_items):
+    children = spark.range(200).selectExpr("id % 7 * (id % 3) AS k", "cast(id * 37 % 101 AS int) AS v").repartition(3)
+
+    def made():
+        frame = nesting.gather(children, ["k"], F.struct("v"), out="items", part_items=part_items, part_bytes=part_bytes)
+        plan = frame._jdf.queryExecution().optimizedPlan().toString()
+        return sorted((r["k"], r["part"], [i["v"] for i in r["items"]]) for r in frame.collect()), plan
+
+    cut, plan = made()
+    assert "Window" not in plan and "Join" not in plan
+    monkeypatch.setattr(nesting, "HELD_ITEMS", 1)
+    ranged, plan = made()
+    assert "Window" in plan and ranged == cut
