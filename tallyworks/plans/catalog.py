@@ -366,7 +366,7 @@ def sample_repeatable(spark, sf_dir):
     the smaller sample, and that other tasks draw the same."""
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
     drawn = filters.sample_repeatable(lines, 10.0, seed=7)
-    again = filters.sample_repeatable(lines.repartition(3), 10.0, seed=7)
+    again = filters.sample_repeatable(lines.repartition("l_orderkey", "l_partkey"), 10.0, seed=7)
     fewer = filters.sample_repeatable(lines, 2.0, seed=7)
 
     def size(df, name):

@@ -61,3 +61,8 @@ def test_counts_use_partial_aggregation(spark):
 
 def test_top_k_does_not_sort_everything(spark):
     assert "TakeOrderedAndProject" in plan_of(spark, "top10_records")
+
+
+def test_no_step_of_the_sample_has_a_fixed_number_of_tasks(spark):
+    plan = QUERIES["sample_repeatable"](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Repartition 3" not in plan and "RepartitionByExpression [l_orderkey" in plan
