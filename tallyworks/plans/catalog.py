@@ -438,11 +438,15 @@ def bloom_token_flags(spark, sf_dir):
     _member_words(spark, sf_dir).write.option("compression", "gzip").text(path)
     members = spark.read.text(path)
     documents = _texts(spark, sf_dir, "documents", "doc_id", "text")
-    exact = bloom.bloom_filter_tokens(documents, "text", members, "value", rate, exact_on=["doc_id"])
-    passed = bloom.bloom_filter_tokens(documents, "text", members, "value", rate)
+    # written once, for the filter alone is only asked about these
+    found = scratch_path(spark, "found")
+    bloom.bloom_filter_tokens(documents, "text", members, "value", rate, exact_on=["doc_id"]).write.parquet(found)
+    exact = spark.read.parquet(found)
+    passed = bloom.bloom_filter_tokens(spread(exact), "text", members, "value", rate)
     saved = scratch_path(spark, "bloom")
     bloom.blocked_bloom(members, "value", members.count(), rate).write(saved)
     words = documents.select(F.explode(raw_tokens("text")).alias("value")).distinct().join(members, "value", "left_anti")
+    words = cut_lineage(words)
     foreign = bloom.read_bloom(spark, saved).keep(words, "value").groupBy().agg(F.count("*").alias("others"))
     lost = exact.join(passed.select("doc_id"), "doc_id", "left_anti").groupBy().agg(F.count("*").alias("lost"))
     counts = exact.groupBy().agg(F.count("*").alias("n_documents")).crossJoin(lost).crossJoin(foreign)

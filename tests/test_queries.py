@@ -66,3 +66,8 @@ def test_top_k_does_not_sort_everything(spark):
 def test_no_step_of_the_sample_has_a_fixed_number_of_tasks(spark):
     plan = QUERIES["sample_repeatable"](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
     assert "Repartition 3" not in plan and "RepartitionByExpression [l_orderkey" in plan
+
+
+def test_documents_are_read_before_the_flags_are_counted(spark):
+    result = QUERIES["bloom_token_flags"](spark, SF_DIR)
+    assert not [f for f in result.inputFiles() if "/documents.parquet" in f]
